@@ -8,6 +8,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,7 +73,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
                 yield batch
             continue
         start, size = 0, 0
-        for i, n in enumerate(pa.compute.binary_length(column).to_pylist()):
+        for i, n in enumerate(pc.binary_length(column).to_pylist()):
             if size and size + (n or 0) > SLICE_CHARS:
                 yield batch.slice(start, i - start)
                 start, size = i, 0
