@@ -5,17 +5,14 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import TypeVar
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WORD = "[^\\x20\\x09-\\x0D]+"
-LETTERS = {ord(upper): upper.lower() for upper in "ABCDEFGHIJKLMNOPQRSTUVWXYZ"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -90,6 +87,27 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
 
 
+def hash_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
+    """The `limit` rows of smallest key hash.
+
+    A first count sets a share that lets about twice as many rows through, so tasks do not each offer `limit` rows.
+    """
+    share = min(1.0, 2 * limit / max(1, df.count()))
+    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) <= int(share * (1 << 30))).orderBy(F.pmod(F.xxhash64(key), F.lit(1 << 30)), key).limit(limit)
+
+
+_MADE: dict[str, object] = {}
+
+
+def once(key: str, make: Callable[[], T]) -> T:
+    """make(), once a worker process and key; of several keys the last few are kept."""
+    if key not in _MADE:
+        while len(_MADE) >= 4:
+            del _MADE[next(iter(_MADE))]
+        _MADE[key] = make()
+    return _MADE[key]
+
+
 def sized(df: DataFrame, name: str, rows: int, row_bytes: int) -> DataFrame:
     """df with a broadcast hint; rows * row_bytes must be a bound that holds for any input."""
     if rows * row_bytes > 1 << 28:

