@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from driftfold.llm import ann, bpe, decontam, langid, lm, pii, secrets, sharding, tokenfile
+import corpus_pipeline
+from driftfold.llm import ann, bpe, decontam, jaccard, langid, lm, pii, secrets, sharding, tokenfile
 from driftfold.llm.common import table
 
 
@@ -35,6 +36,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_components(table(spark, sf_dir, "documents"))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secrets.scan_secrets(docs, secrets.trained_models(docs))
@@ -49,9 +54,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = (op1_language_id, op2_bpe, op3_lm_scoring, op4_token_output, op5_decontamination, op6_sharding, op8_secrets, op9_nearest_neighbours, op10_pii)
-    return {f.__name__: f for f in own}
+    own = (op1_language_id, op2_bpe, op3_lm_scoring, op4_token_output, op5_decontamination, op6_sharding, op7_jaccard_join, op8_secrets, op9_nearest_neighbours, op10_pii)
+    return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op6_sharding": sharding.sharding_sql(), "op7_jaccard_join": jaccard.JACCARD_SQL}

@@ -107,16 +107,33 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -
     )
 
 
+def crc32_table() -> list[int]:
+    """The 256 remainders of the reflected CRC-32 polynomial."""
+    table = []
+    for value in range(256):
+        for _ in range(8):
+            value = value >> 1 ^ (0xEDB88320 if value & 1 else 0)
+        table.append(value)
+    return table
+
+
 def sharding_sql(shards: int = SHARDS, slots: int = SLOTS) -> str:
-    """DuckDB SQL for shard_documents, all but text_crc32, for which DuckDB has no function."""
+    """DuckDB SQL for shard_documents."""
     now, grown = (f"[{', '.join(map(str, slot_map(n, slots)))}]" for n in (shards, shards + 1))
     return f"""
-        with r as (
+        with t as (select [{', '.join(map(str, crc32_table()))}] as tab),
+        b as (
             select doc_id, strlen(coalesce(text, '')) + {ROW_BYTES} as size,
-                   cast(('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 8)) as bigint) % {slots} as v
+                   list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: cast('0x' || h as bigint)) as bytes,
+                   cast('0x' || substr(md5(coalesce(cast(doc_id as varchar), '')), 1, 8) as bigint) % {slots} as v
             from documents),
+        r as (
+            select doc_id, size, v, xor(list_reduce(list_prepend(cast(4294967295 as bigint), bytes),
+                       lambda c, x: xor(c >> 8, tab[xor(c, x) % 256 + 1])), cast(4294967295 as bigint)) as text_crc32
+            from b, t),
         m as (select *, ({now})[v + 1] as shard, ({grown})[v + 1] as grown_shard from r)
-        select doc_id, cast(size as bigint) as size, 'key' as law, cast(shard as integer) as shard,
-               cast(row_number() over (partition by shard order by v, doc_id, size) - 1 as bigint) as slot,
-               cast(grown_shard as integer) as grown_shard, cast(v as integer) as vslot, {shards} as map_version
+        select doc_id, cast(size as bigint) as size, cast(text_crc32 as bigint) as text_crc32, 'key' as law,
+               cast(shard as integer) as shard,
+               cast(row_number() over (partition by shard order by v, doc_id, text_crc32, size) - 1 as bigint) as slot,
+               cast(grown_shard as integer) as grown_shard, cast(v as integer) as vslot, cast({shards} as integer) as map_version
         from m"""
