@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -57,8 +58,20 @@ def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of text in an Arrow batch: the default, ten thousand, makes batches of long texts too large for a worker.
+BATCH_ROWS = 1_000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """df, after lowering its session's rows an Arrow batch to BATCH_ROWS where they are more."""
+    name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, str(BATCH_ROWS))
+    return df
+
+
 #: Characters of text a Python worker turns into objects at once.
-SLICE_CHARS = 8_000_000
+SLICE_CHARS = 4_000_000
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
@@ -76,6 +89,14 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa
                 start, size = i, 0
             size += n or 0
         yield batch.slice(start)
+    trim()
+
+
+def trim() -> None:
+    """Give memory that a worker no longer needs back to the system: workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 def texts_of(batch: pa.RecordBatch, text: str = "text") -> list[str]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftfold.llm.common import column, fold_of, materialize, once, slices, texts_of
+from driftfold.llm.common import column, fold_of, materialize, once, slices, small_batches, texts_of
 from driftfold.llm.wordtable import count_words, head_of
 
 FOLDS, HELD_OUT = 7, 2
@@ -33,7 +33,7 @@ ORDER = 5
 END = b"\n"
 NODES = 1 << 21
 #: Bytes scored or counted at once, and distinct grams a task holds before it passes them on.
-CHUNK, HELD = 1 << 20, 1 << 21
+CHUNK, HELD = 1 << 20, 1 << 20
 #: No gram of ORDER + 1 bytes has this code.
 EMPTY = np.uint64(2**64 - 1)
 
@@ -102,7 +102,7 @@ def count_grams(docs: DataFrame) -> DataFrame:
                 codes = np.sort(gram_codes([streams[i] for i in group]))
                 first = np.flatnonzero(np.concatenate(([True], codes[1:] != codes[:-1])))
                 pending.append((codes[first], np.diff(np.append(first, len(codes)))))
-                if len(pending) >= 16:
+                if len(pending) >= 4:
                     merge()
             if len(grams) >= HELD:
                 merge()
@@ -168,10 +168,12 @@ class Scorer:
         of = np.repeat(np.arange(len(top.contexts)), top.distinct)
         logs = np.log10(top.counts / (top.total + top.distinct)[of]) if len(top.grams) else np.zeros(0)
         self._fill(top.grams, logs)
+        # Only grams that the hash table lacks walk down the levels, so the first level's own grams are not needed again.
+        top.grams, top.counts = top.grams[:0], top.counts[:0]
 
     def _fill(self, grams: np.ndarray, logs: np.ndarray) -> None:
         """Open addressing, filled in rounds: of the grams that want a free slot one gets it, the others move on."""
-        self.bits = max(4, int(np.ceil(np.log2(max(1, len(grams)) * 2.5))))
+        self.bits = max(4, int(np.ceil(np.log2(max(1, len(grams)) * 1.4))))
         self.keys = np.full(1 << self.bits, EMPTY)
         self.logs = np.zeros(1 << self.bits, dtype=np.float32)
         left, slot = np.arange(len(grams)), self.slot(grams)
@@ -256,7 +258,7 @@ def _splitter() -> Callable[[str], list[bytes]]:
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     fold = fold_of("doc_id", FOLDS)
     rows = docs.select("doc_id", "text", (fold == HELD_OUT).alias("held_out"), (fold != HELD_OUT).alias("learn"))
     words = materialize(count_words(rows, _splitter, "learn", binary=True), "words")

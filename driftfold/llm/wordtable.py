@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from driftfold.llm.common import slices, texts_of
 
 #: Distinct words a task holds before it passes its counts on.
-FLUSH = 500_000
+FLUSH = 250_000
 #: The head of a table: at most so many words of at most so many bytes, the commonest ones. This bounds what is broadcast.
 HEAD_WORDS, HEAD_BYTES = 400_000, 32
 
@@ -28,7 +28,8 @@ def count_words(docs: DataFrame, splitter: Callable[[], Callable[[str], list]],
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter()
-        total, weighted = Counter(), Counter()
+        total = Counter()
+        weighted = Counter() if weight else total
 
         def flush() -> pa.RecordBatch:
             words = list(total)
@@ -41,7 +42,7 @@ def count_words(docs: DataFrame, splitter: Callable[[], Callable[[str], list]],
             for text, counts in zip(texts_of(batch), batch.column(1).to_pylist(), strict=True):
                 words = split(text)
                 total.update(words)
-                if counts:
+                if counts and weight:
                     weighted.update(words)
             if len(total) >= FLUSH:
                 yield flush()
