@@ -75,11 +75,12 @@ def sanitize_error(text: Column, length: int = ERROR_LENGTH) -> Column:
     return F.left(F.nullif(collapsed, F.lit("")), F.lit(length))
 
 
-_URL = r"^\s*([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?\s*$"
+_URL = r"^([A-Za-z][A-Za-z0-9+.-]*)://([^/?#]*)([^?#]*)(\?[^#]*)?(#.*)?$"
 
 
 def url_parts(url: Column) -> dict[str, Column]:
     """Scheme, authority, host, port, path, query and fragment by pattern: parse_url rejects hosts that are fine here."""
+    url = F.regexp_replace(url, r"^\s+|\s+$", "")
     piece = {name: F.regexp_extract(url, _URL, n) for n, name in enumerate(("scheme", "authority", "path", "query", "fragment"), 1)}
     host = F.regexp_extract(piece["authority"], r"^(\[[^\]]*\]|[^:]*)(:([0-9]*))?$", 1)
     port = F.regexp_extract(piece["authority"], r"^(\[[^\]]*\]|[^:]*)(:([0-9]*))?$", 3)
