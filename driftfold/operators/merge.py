@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 
 from driftfold.functions.scalars import change_value, event_id, profile_fingerprint
 from driftfold.schema import CONFIRMATIONS, EVENT, HEALTHY, USER_COLUMNS
+from driftfold.session import shared_folder
 
 #: Observations of one entity that a task may hold.
 CHUNK = 20_000
@@ -134,6 +135,7 @@ def fold_observations(obs: DataFrame, users: DataFrame | None = None, chunk: int
     most = obs.groupBy("user_id").count().agg(F.max("count")).collect()[0][0] or 0
     if most <= chunk:
         return _fold_once(obs, state, **rules)
+    shared_folder(obs.sparkSession)
     order = Window.partitionBy("user_id").orderBy("observed_at", "seq")
     dealt = obs.withColumn("round", F.floor((F.row_number().over(order) - 1) / chunk))
     for n in range(-(-most // chunk)):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
@@ -22,3 +24,12 @@ def local_session(cores: int | str = 8, partitions: int = 8, **conf: str) -> Spa
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir, which driver and executors share; a local folder only where it is unset."""
+    conf = spark.sparkContext.getConf()
+    if not spark.sparkContext.getCheckpointDir():
+        named = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
+        spark.sparkContext.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="driftfold-"))
+    return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()).rstrip("/")

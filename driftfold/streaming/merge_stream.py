@@ -2,22 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftfold.operators import merge
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which driver and executors share; a local folder only where it is unset."""
-    set_by_cluster = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if set_by_cluster:
-        return set_by_cluster.rstrip("/")
-    spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="driftfold-stream-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+from driftfold.session import shared_folder
 
 
 class StateTable:

@@ -81,8 +81,7 @@ def test_fold_is_the_state_machine(spark, items):
     check(merge.fold_observations(frame(spark, rows)), rows)
 
 
-def test_fold_in_rounds_and_over_records(spark, tmp_path):
-    spark.sparkContext.setCheckpointDir(str(tmp_path))
+def test_fold_in_rounds_and_over_records(spark):
     rows = [observation(1 + i % 2, i, i, VALUES[(i * 7 + i // 5) % 6]) for i in range(60)]
     check(merge.fold_observations(frame(spark, rows), chunk=7), rows)
     half = merge.fold_observations(frame(spark, rows[:30]))
