@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from driftfold.llm.common import column, fold_of, slices, texts_of
+from driftfold.llm.common import column, fold_of, slices, small_batches, texts_of
 
 UNKNOWN = "und"
 FOLDS = 5
@@ -98,7 +98,7 @@ class Languages:
 
 
 class Parser:
-    """The automata of all languages as one table of steps: twice the next state's row, odd where a phrase ends."""
+    """The automata of all languages as one table of steps: twice the next state's row, odd where a phrase starts."""
 
     def __init__(self, languages: Languages):
         self.names = languages.names
@@ -108,14 +108,17 @@ class Parser:
         for i, c in enumerate(alphabet):
             if c < TABLE:
                 self.code[c] = i + 1
-        tables, self.roots, self.bits, rows = [], [], [], 0
+        tables, self.starts, self.bits, rows = [], [], [], 0
         for _, text in languages.texts:
             codes = self.codes(self.normal(text)[0])
             moves = suffix_automaton(codes.tolist(), self.width)
-            first = np.where(moves[0] >= 0, moves[0], 0)
+            # One more state, between phrases: any character starts a phrase there, and one that occurs nowhere is a phrase and leads back.
+            between = len(moves)
+            moves = np.vstack((moves, np.full((1, self.width), -1, dtype=np.int32)))
+            first = np.where(moves[0] >= 0, moves[0], between)
             rest = moves < 0
             tables.append(np.where(rest, (first[None, :] + rows) * (2 * self.width) + 1, (moves + rows) * (2 * self.width)))
-            self.roots.append(rows * 2 * self.width)
+            self.starts.append((rows + between) * 2 * self.width)
             self.bits.append(np.log2(max(2, len(codes))))
             rows += len(moves)
         self.steps = np.concatenate(tables).astype(np.int64 if rows * self.width >= 1 << 30 else np.int32).ravel() if tables else np.zeros(0, np.int32)
@@ -139,8 +142,8 @@ class Parser:
         matrix = np.zeros((lengths[0], len(segments)), dtype=np.int32)
         for at, i in enumerate(order):
             matrix[: lengths[at], at] = segments[i]
-        state = np.repeat(np.array(self.roots, dtype=np.int64)[:, None], len(segments), axis=1)
-        count = np.ones((len(self.names), len(segments)), dtype=np.int32)
+        state = np.repeat(np.array(self.starts, dtype=np.int64)[:, None], len(segments), axis=1)
+        count = np.zeros((len(self.names), len(segments)), dtype=np.int32)
         active = np.searchsorted(-lengths, -np.arange(1, lengths[0] + 1), side="right")
         for t in range(lengths[0]):
             n = active[t]
@@ -216,7 +219,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Langua
 
 def identify(docs: DataFrame, languages: Languages, text: str = "text") -> DataFrame:
     """docs with lang_pred, score and lang_bits (cross-parsing entropy in bits a character, null for `und`)."""
-    sent = docs.sparkSession.sparkContext.broadcast(languages)
+    sent = small_batches(docs).sparkSession.sparkContext.broadcast(languages)
     old = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", "lang_bits")]
     docs = docs.select(*[F.col(f"`{f.name}`") for f in old])
 
