@@ -55,7 +55,14 @@ def materialize(df: DataFrame, name: str, **options: str) -> DataFrame:
         writer = writer.option(key, value)
     writer.parquet(path)
     atexit.register(_remove, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written.written_to = path
+    return written
+
+
+def discard(written: DataFrame) -> None:
+    """Delete a table that materialize wrote; nothing may read it any more."""
+    _remove(written.sparkSession, written.written_to)
 
 
 #: Rows of text in an Arrow batch: the default, ten thousand, makes batches of long texts too large for a worker.
@@ -114,7 +121,8 @@ def hash_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
     A first count sets a share that lets about twice as many rows through, so tasks do not each offer `limit` rows.
     """
     share = min(1.0, 2 * limit / max(1, df.count()))
-    return df.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) <= int(share * (1 << 30))).orderBy(F.pmod(F.xxhash64(key), F.lit(1 << 30)), key).limit(limit)
+    place = F.pmod(F.xxhash64(key), F.lit(1 << 30))
+    return df.where(place <= int(share * (1 << 30))).orderBy(place, key).limit(limit)
 
 
 _MADE: dict[str, object] = {}

@@ -10,10 +10,13 @@ sets it may link with are among those of its first |x| - ceil(3/4 |x|) + 1 pivot
 copied. Every pair that links meets in some region.
 
 Regions are then joined recursively. First, in each region the smallest set is a pivot of its own and the others
-within reach of its size are compared with it; then those that still lie in another component than a region's
-next member are compared with that; at last every pair of a region that still lies in two components, has sizes
-within the ratio and shares as many pivots as a link needs, is compared exactly. Pairs inside one component need
-no comparison, so a group of thousands of near copies costs about as many comparisons as it has members.
+within reach of its size are compared with it; then those that still lie in another component than a large region's
+next member are compared with that. What still lies in two components of a region is compared exhaustively: in
+small regions all pairs of sizes within the ratio that share as many pivots as a link needs; large regions are
+grouped into families, and a family is joined block by block, where the counts of a set's members in CLASSES
+classes of shingles (its distances to as many pivots) rule out most pairs by the triangle inequality before two
+sets are compared. Pairs inside one component need no comparison, and blocks of one component none at all, so a
+group of thousands of near copies costs about as many comparisons as it has members.
 
 Shingles are 64-bit hashes: a wrong link needs several collisions within one pair.
 
@@ -25,22 +28,28 @@ and a null component; an empty table gives an empty result; extra columns are ig
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from driftfold.llm.common import column, materialize, slices, texts_of
+from driftfold.llm.common import column, discard, materialize, slices, small_batches, texts_of
 from driftfold.llm.components import components
 
 SHINGLE = 5
 #: Documents of a shingle from which it counts as common, and most common shingles that are sent to the workers.
-COMMON, MOST_COMMON = 48, 500_000
-#: Shingles a task counts together, occurrences in them from which one is reported, pivots a task holds.
-COUNTED, REPORTED, PIVOTS = 4_000_000, 3, 1_500_000
+COMMON, MOST_COMMON = 16, 2_000_000
+#: Share of all hashes, from the least, in which common shingles are looked for: windows rarely reach beyond.
+LOW = 0.4
+#: Shingles and pivots a task holds before it passes them on.
+COUNTED, PIVOTS = 2_000_000, 750_000
+#: Sets of a region from which it counts as large; sets in a block of a family; classes of shingles.
+LARGE, BLOCK, CLASSES = 16, 1_024, 64
 #: Distinct sets a task remembers so that it sends equal ones once.
 REMEMBERED = 1_000_000
 #: Members that are compared with one set in one task; bits of the map of documents whose sets are needed.
@@ -51,17 +60,60 @@ ROUNDS = 2
 FACTOR, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
-class WordHash(dict):
-    """64-bit hash of a word, as a signed integer."""
+#: Bytes whose words are hashed together.
+PIECE = 1 << 19
+_SPACE = np.zeros(256, dtype=bool)
+_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
 
-        if len(self) > 1_000_000:
-            self.clear()
-        value = xxhash.xxh3_64_intdigest(word)
-        self[word] = value = value - (1 << 64) if value >> 63 else value
-        return value
+@cache
+def powers() -> tuple[np.ndarray, np.ndarray]:
+    """FACTOR ** i and its inverse modulo 2 ** 64, for the places of a piece."""
+    inverse = np.full(PIECE, np.uint64(pow(int(FACTOR), -1, 1 << 64)))
+    direct = np.full(PIECE, FACTOR)
+    direct[0] = inverse[0] = 1
+    return np.cumprod(direct), np.cumprod(inverse)
+
+
+def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and start of every word of lower-case UTF-8 text.
+
+    A word's hash is the polynomial of its bytes: a difference of running sums, moved to place 0. Pieces end at
+    white space; a word too long for one is hashed by itself.
+    """
+    hashes, starts, at = [], [], 0
+    direct, inverse = powers()
+    while at < len(data):
+        end = min(len(data), at + PIECE)
+        if end < len(data) and data[end] not in _WHITE:
+            cut = max(data.rfind(c, at, end) for c in _SPLITTERS)
+            if cut > at:
+                end = cut
+            elif data[at] in _WHITE:
+                end = at + 1
+            else:
+                stops = [x for c in _SPLITTERS if (x := data.find(c, end)) >= 0]
+                end = min(stops, default=len(data))
+                hashes.append(np.array([xxhash.xxh3_64_intdigest(data[at:end])], dtype=np.uint64))
+                starts.append(np.array([at]))
+                at = end
+                continue
+        codes = np.frombuffer(data, np.uint8, end - at, at)
+        space = _SPACE[codes]
+        edges = np.flatnonzero(np.diff(np.concatenate(([True], space, [True]))))
+        first, last = edges[::2], edges[1::2]
+        sums = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * direct[: len(codes)], out=sums[1:])
+        hashes.append((sums[last] - sums[first]) * inverse[first])
+        starts.append(first + at)
+        at = end
+    if not hashes:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    return mixed(np.concatenate(hashes)), np.concatenate(starts)
+
+
+_SPLITTERS = (b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r")
+_WHITE = b"".join(_SPLITTERS)
 
 
 def mixed(h: np.ndarray) -> np.ndarray:
@@ -70,17 +122,30 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(33))
 
 
-def shingle_set(text: str, hashes: WordHash) -> np.ndarray:
-    """Sorted distinct shingle hashes; bytes.lower and bytes.split touch A-Z and ASCII white space alone."""
-    words = text.encode().lower().split()
-    if not words:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(hashes.__getitem__, words), np.int64, len(words)).view(np.uint64)
-    width = min(SHINGLE, len(words))
-    out = np.full(len(words) - width + 1, np.uint64(width))
+def chained(h: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of `width` word hashes."""
+    out = np.full(max(0, len(h) - width + 1), np.uint64(width))
     for k in range(width):
         out = out * FACTOR + h[k : k + len(out)]
-    return np.unique(mixed(out))
+    return mixed(out)
+
+
+def shingle_sets(texts: list[str]) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each text; bytes.lower and the splitters touch A-Z and ASCII white space alone.
+
+    Words of all texts are hashed and chained as one array; runs across two texts are never cut out of it.
+    """
+    parts = [text.encode() for text in texts]
+    hashes, starts = word_hashes(b" ".join(parts).lower())
+    runs = chained(hashes, SHINGLE)
+    ends = np.searchsorted(starts, np.cumsum([len(p) + 1 for p in parts])).tolist()
+    out = []
+    for start, end in zip([0, *ends], ends, strict=False):
+        n = end - start
+        members = runs[start : end - SHINGLE + 1].copy() if n >= SHINGLE else chained(hashes[start:end], n) if n else runs[:0]
+        members.sort()
+        out.append(members[np.concatenate(([True], members[1:] != members[:-1]))] if len(members) > 1 else members)
+    return out
 
 
 def prefix_length(n: int) -> int:
@@ -92,49 +157,74 @@ def links(common: int, n: int, m: int) -> bool:
     return 7 * common >= 3 * (n + m)
 
 
-def survey(docs: DataFrame) -> DataFrame:
-    """One row a document (doc_id, n, set_hash) and one for each shingle often met in a task (shingle, times)."""
+def low_codes(members: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket (by the leading bits) and 32 bits of each of a sorted set's low hashes, as one number."""
+    low = members[: np.searchsorted(members, np.uint64(LOW * 2**64))]
+    return (((low >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)) << np.uint64(32)) | (low & np.uint64(0xFFFFFFFF))
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
 
-        hashes, held, size = WordHash(), [], 0
+def survey(docs: DataFrame, buckets: int) -> DataFrame:
+    """One row a document (doc_id, n, set_hash), and rows (bucket, keys) with the low hashes of all distinct sets of a task."""
 
-        def common() -> pa.RecordBatch:
-            found, times = np.unique(np.concatenate(held), return_counts=True)
-            often = times >= REPORTED
-            n = int(often.sum())
-            return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(found[often].view(np.int64)), pa.array(times[often].astype(np.int64))], names=names)
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size, seen = [], 0, set()
+
+        def low() -> pa.RecordBatch:
+            codes = np.sort(np.concatenate(held))
+            ends = np.searchsorted(codes, np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32))
+            filled = [b for b in range(buckets) if ends[b] < ends[b + 1]]
+            keys = [(codes[ends[b] : ends[b + 1]] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for b in filled]
+            n = len(filled)
+            return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(filled, pa.int32()), pa.array(keys, pa.binary())], names=names)
 
         for batch in slices(batches):
-            sets = [shingle_set(t, hashes) for t in texts_of(batch)]
+            sets = shingle_sets(texts_of(batch))
+            digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             none = len(sets)
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.nulls(none, pa.int64()), pa.nulls(none, pa.int64())], names=names)
-            held += [s for s in sets if len(s)]
-            size += sum(map(len, sets))
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], names=names)
+            for members, digest in zip(sets, digests, strict=True):
+                if digest not in seen:
+                    if len(seen) < REMEMBERED:
+                        seen.add(digest)
+                    held.append(low_codes(members, buckets))
+                    size += len(held[-1])
             if size >= COUNTED:
-                yield common()
+                yield low()
                 held, size = [], 0
-        if held:
-            yield common()
+        if size:
+            yield low()
 
-    names = ["doc_id", "n", "set_hash", "shingle", "times"]
-    return docs.select("doc_id", "text").mapInArrow(read, "doc_id long, n long, set_hash binary, shingle long, times long")
+    names = ["doc_id", "n", "set_hash", "bucket", "keys"]
+    return docs.select("doc_id", "text").mapInArrow(read, "doc_id long, n long, set_hash binary, bucket int, keys binary")
 
 
 def common_shingles(surveyed: DataFrame) -> np.ndarray:
-    """Sorted hashes of the commonest shingles, at most MOST_COMMON; which ones affects speed alone."""
-    counted = surveyed.where("shingle is not null").groupBy("shingle").agg(F.sum("times").alias("times")).where(F.col("times") >= COMMON)
-    top = counted.orderBy(F.desc("times"), "shingle").limit(MOST_COMMON).select("shingle").toArrow()
-    return np.sort(top.column("shingle").to_numpy().view(np.uint64))
+    """Sorted codes of the commonest low shingles, at most MOST_COMMON; which ones affects speed alone."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket, keys = 0, []
+        for batch in batches:
+            bucket = column(batch, "bucket")[0].as_py() if batch.num_rows else bucket
+            keys += [np.frombuffer(blob, np.uint32) for blob in column(batch, "keys").to_pylist()]
+        ordered_keys = np.sort(np.concatenate(keys))
+        first, times = _runs(ordered_keys)
+        often = times >= COMMON
+        codes = (np.int64(bucket) << np.int64(32)) | ordered_keys[first[often]].astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(codes), pa.array(times[often].astype(np.int64))], names=["code", "times"])
 
+    counted = surveyed.where("keys is not null").select("bucket", "keys").groupBy("bucket").applyInArrow(count, "code long, times long")
+    top = counted.orderBy(F.desc("times"), "code").limit(MOST_COMMON).select("code").toArrow()
+    return np.sort(top.column("code").to_numpy().astype(np.uint64))
 
-def ordered(members: np.ndarray, common: np.ndarray) -> np.ndarray:
+
+def ordered(members: np.ndarray, common: np.ndarray, buckets: int) -> np.ndarray:
     """A set's members as pivots in order: by hash, common ones last."""
     if not len(common):
         return members
-    at = np.minimum(np.searchsorted(common, members), len(common) - 1)
-    late = common[at] == members
+    codes = low_codes(members, buckets)
+    at = np.minimum(np.searchsorted(common, codes), len(common) - 1)
+    late = np.zeros(len(members), bool)
+    late[: len(codes)] = common[at] == codes
     return np.concatenate((members[~late], members[late])) if late.any() else members
 
 
@@ -146,15 +236,13 @@ def windows(docs: DataFrame, common: Broadcast, buckets: int) -> DataFrame:
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        hashes, seen = WordHash(), set()
+        seen = set()
         pivots, ids, sizes, held = [], [], [], 0
 
         def flush() -> pa.RecordBatch:
             pivot = np.concatenate(pivots)
             number = np.repeat(np.arange(len(pivots), dtype=np.uint32), [len(p) for p in pivots])
-            bucket = ((pivot >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
+            bucket = ((pivot >> np.uint64(16)) % np.uint64(buckets)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
             order = np.argsort(bucket, kind="stable")
             ends = np.searchsorted(bucket[order], np.arange(buckets + 1))
             all_ids, all_sizes = np.array(ids, dtype=np.int64), np.array(sizes, dtype=np.uint32)
@@ -162,20 +250,21 @@ def windows(docs: DataFrame, common: Broadcast, buckets: int) -> DataFrame:
             blobs = []
             for b in filled:
                 own = order[ends[b] : ends[b + 1]]
-                sets, number_here = np.unique(number[own], return_inverse=True)
-                blobs.append(np.array([len(own), len(sets)], dtype=np.int64).tobytes() + pivot[own].tobytes() + number_here.astype(np.uint32).tobytes() + all_ids[sets].tobytes() + all_sizes[sets].tobytes())
+                # The order is stable, so a bucket's copies come set by set.
+                first, length = _runs(number[own])
+                sets, number_here = number[own[first]], np.repeat(np.arange(len(first), dtype=np.uint32), length)
+                blobs.append(np.array([len(own), len(sets)], dtype=np.int64).tobytes() + pivot[own].tobytes() + number_here.tobytes() + all_ids[sets].tobytes() + all_sizes[sets].tobytes())
             pivots.clear(), ids.clear(), sizes.clear()
             return pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "pivots"])
 
         for batch in slices(batches):
-            for doc_id, text in zip(column(batch, "doc_id").to_pylist(), texts_of(batch), strict=True):
-                members = shingle_set(text, hashes)
+            for doc_id, members in zip(column(batch, "doc_id").to_pylist(), shingle_sets(texts_of(batch)), strict=True):
                 key = xxhash.xxh3_128_digest(members.tobytes())
                 if doc_id is None or not len(members) or key in seen:
                     continue
                 if len(seen) < REMEMBERED:
                     seen.add(key)
-                window = ordered(members, common.value)[: prefix_length(len(members))]
+                window = ordered(members, common.value, buckets)[: prefix_length(len(members))]
                 pivots.append(window)
                 ids.append(doc_id)
                 sizes.append(len(members))
@@ -205,10 +294,16 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def regions(windowed: DataFrame) -> DataFrame:
-    """(region, id, n, center) of every copy in a region of two sets or more; center: the smallest set within reach of its size."""
+    """(region, id, n, center, first, size) of every copy in a region of two sets or more.
+
+    center: the smallest set within reach of its size; first: the region's smallest id; size: its number of sets.
+    """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [unpack(blob) for batch in batches for blob in column(batch, "pivots").to_pylist()]
+        bucket, parts = 0, []
+        for batch in batches:
+            bucket = column(batch, "bucket")[0].as_py() if batch.num_rows else bucket
+            parts += [unpack(blob) for blob in column(batch, "pivots").to_pylist()]
         pivot, ids, n = (np.concatenate(x) for x in zip(*parts, strict=True))
         order = np.lexsort((ids, n, pivot))
         pivot, ids, n = pivot[order], ids[order], n[order]
@@ -231,11 +326,14 @@ def regions(windowed: DataFrame) -> DataFrame:
             start = start + reached
             left = start < end
             start, end = start[left], end[left]
+        least, sizes = np.repeat(np.minimum.reduceat(ids, first), length), np.repeat(length, length).astype(np.int32)
+        # Numbers of regions within their bucket take fewer bytes than the pivots' hashes wherever rows are shuffled or kept.
+        region = (np.int64(bucket) << np.int64(32)) | np.repeat(np.arange(len(first)), length)
         for at in range(0, len(ids), 100_000):
             cut = slice(at, at + 100_000)
-            yield pa.RecordBatch.from_arrays([pa.array(pivot[cut].view(np.int64)), pa.array(ids[cut]), pa.array(n[cut]), pa.array(center[cut])], names=["region", "id", "n", "center"])
+            yield pa.RecordBatch.from_arrays([pa.array(x[cut]) for x in (region, ids, n.astype(np.int32), center, least, sizes)], names=["region", "id", "n", "center", "first", "size"])
 
-    return windowed.groupBy("bucket").applyInArrow(build, "region long, id long, n long, center long")
+    return windowed.groupBy("bucket").applyInArrow(build, "region long, id long, n int, center long, first long, size int")
 
 
 def _bitmap(ids: DataFrame) -> np.ndarray:
@@ -252,11 +350,10 @@ def sets_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
     bits = docs.sparkSession.sparkContext.broadcast(_bitmap(ids))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHash()
         for batch in slices(batches):
             slot = column(batch, "slot").to_numpy()
             batch = batch.filter(pa.array((bits.value[slot // 32] >> (slot % 32).astype(np.uint32)) & 1 == 1))
-            sets = [shingle_set(t, hashes) for t in texts_of(batch)]
+            sets = shingle_sets(texts_of(batch))
             filled = pa.array([len(s) > 0 for s in sets], pa.bool_())
             yield pa.RecordBatch.from_arrays([column(batch, "id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "members"]).filter(filled)
 
@@ -311,7 +408,7 @@ def star_pairs(table: DataFrame, labels: DataFrame) -> DataFrame:
     return with_labels(with_labels(best, labels, "id", "x"), labels, "center", "y").where("x != y").select(F.col("center").alias("a"), F.col("id").alias("b"))
 
 
-def _crossing(table: DataFrame, labels: DataFrame, buckets: int, neighbours: bool) -> DataFrame:
+def _crossing(table: DataFrame, labels: DataFrame, neighbours: bool) -> DataFrame:
     """(a, b, met): pairs of regions whose components differ, with the number of regions they share.
 
     neighbours: only each member and the next one in size of another component; else all pairs that sizes allow.
@@ -319,7 +416,7 @@ def _crossing(table: DataFrame, labels: DataFrame, buckets: int, neighbours: boo
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         whole = [[column(batch, c).to_numpy() for c in ("region", "id", "n", "label")] for batch in batches]
-        region, ids, n, label = (np.concatenate(x) for x in zip(*whole, strict=True))
+        region, ids, n, label = (np.concatenate(x).astype(np.int64) for x in zip(*whole, strict=True))
         order = np.lexsort((ids, n, region))
         region, ids, n, label = region[order], ids[order], n[order], label[order]
         counts: dict[str, list] = {"a": [], "b": [], "n": [], "m": []}
@@ -358,11 +455,100 @@ def _crossing(table: DataFrame, labels: DataFrame, buckets: int, neighbours: boo
             cut = start[at : at + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in (a[cut], b[cut], x[cut], y[cut], met[at : at + 100_000])], names=["a", "b", "n", "m", "met"])
 
-    labelled = with_labels(table.select("region", "id", "n"), labels, "id", "label").withColumn("bucket", F.pmod(F.xxhash64("region"), F.lit(buckets)).cast("int"))
+    labelled = with_labels(table.select("region", "id", "n"), labels, "id", "label").withColumn("bucket", F.shiftright("region", 32).cast("int"))
     found = labelled.groupBy("bucket").applyInArrow(pairs, "a long, b long, n long, m long, met long")
     return found.groupBy("a", "b").agg(F.min("n").alias("n"), F.min("m").alias("m"), F.sum("met").alias("met"))
 
 
+def signature(members: np.ndarray) -> np.ndarray:
+    """Members in each class of shingles."""
+    return np.bincount((members & np.uint64(CLASSES - 1)).astype(np.int64), minlength=CLASSES)
+
+
+def families(large: DataFrame, labels: DataFrame) -> DataFrame:
+    """(id, n, label, family, block, whole) of the sets of large regions that lie in several components.
+
+    Sets are dealt to blocks of about BLOCK of a family: a component that fills blocks has blocks of its own
+    (`whole` names it), the others share some.
+    """
+    rows = with_labels(large.select("region", "id", "n", "first"), labels, "id", "label")
+    mixed = rows.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("region")
+    rows = materialize(rows.join(mixed, "region").select("id", "n", "first", "label").distinct(), "families")
+    roots = components(rows.select(F.col("id").alias("u"), F.col("first").alias("v")))
+    members = rows.select("id", "n", "label").distinct().join(roots.select(F.col("node").alias("id"), F.col("root").alias("family")), "id")
+    per_label = members.groupBy("family", "label").agg(F.count("*").alias("k"))
+    rest = per_label.where(F.col("k") < BLOCK).groupBy("family").agg(F.sum("k").alias("few"))
+    own, shared = F.ceil(F.col("k") / BLOCK), F.ceil(F.coalesce("few", F.lit(1)) / BLOCK)
+    filled = F.col("k") >= BLOCK
+    block = F.when(filled, F.xxhash64("label", F.pmod(F.xxhash64("id"), own))).otherwise(F.pmod(F.xxhash64("label"), shared))
+    placed = members.join(per_label, ["family", "label"]).join(rest, "family", "left")
+    return placed.select("id", "n", "label", "family", block.alias("block"), F.when(filled, F.col("label")).alias("whole"))
+
+
+def family_links(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """(a, b) of links between components in families: enough of them to join all components that any link joins."""
+    blocks = members.groupBy("family", "block").agg(F.min("whole").alias("whole"), F.min("n").alias("low"), F.max("n").alias("high"))
+    other = blocks.select("family", F.col("block").alias("block2"), F.col("whole").alias("whole2"), F.col("low").alias("low2"), F.col("high").alias("high2"))
+    near = (F.col("low") * 3 <= F.col("high2") * 4) & (F.col("low2") * 3 <= F.col("high") * 4)
+    pairs = blocks.join(other, "family").where((F.col("block") <= F.col("block2")) & near & ~F.coalesce(F.col("whole") == F.col("whole2"), F.lit(False)))
+    key = F.xxhash64("family", "block", "block2")
+    sides = pairs.select("family", "block", key.alias("pair"), F.lit(0).alias("side")).union(pairs.where("block <> block2").select("family", F.col("block2"), key, F.lit(1)))
+    sent = members.join(sides, ["family", "block"]).select("id", "label", "pair", "side")
+    dealt = sent.join(sets_of(docs, sent.select("id").distinct()), "id")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []
+        for batch in batches:
+            found = []
+            for pair, side, label, id_, data in zip(*(column(batch, c).to_pylist() for c in ("pair", "side", "label", "id", "members")), strict=True):
+                if pair != key:
+                    found += _block_links(held)
+                    key, held = pair, []
+                held.append((side, label, id_, np.frombuffer(data, np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["a", "b"])
+        found = _block_links(held)
+        yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], names=["a", "b"])
+
+    grouped = dealt.repartition(parts, "pair").sortWithinPartitions("pair", "side")
+    return grouped.select("pair", "side", "label", "id", "members").mapInArrow(check, "a long, b long")
+
+
+def _block_links(rows: list[tuple[int, int, int, np.ndarray]]) -> list[tuple[int, int]]:
+    """Links between two blocks, or within one, that join components not yet joined."""
+    if len(rows) < 2:
+        return []
+    root = {label: label for _, label, _, _ in rows}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    n = np.array([len(r[3]) for r in rows])
+    counts = np.stack([signature(r[3]) for r in rows]).astype(np.int32)
+    side = np.array([r[0] for r in rows])
+    two = bool(side.any())
+    out = []
+    for i, (own_side, label, id_, members) in enumerate(rows):
+        if two and own_side:
+            break
+        later = np.flatnonzero(side == 1) if two else np.arange(i + 1, len(rows))
+        if not len(later):
+            break
+        apart = np.abs(counts[later] - counts[i]).sum(axis=1)
+        for j in later[7 * apart <= n[later] + n[i]]:
+            other = rows[j]
+            if find(label) == find(other[1]):
+                continue
+            at = np.minimum(np.searchsorted(members, other[3]), len(members) - 1)
+            if links(int((members[at] == other[3]).sum()), n[i], n[j]):
+                root[find(label)] = find(other[1])
+                out.append((min(id_, other[2]), max(id_, other[2])))
+    return out
+
+
 def rest_of(n: Column) -> Column:
     """Members of a set of n outside its window."""
     return F.ceil(n * 3 / 4) - 1
@@ -371,39 +557,43 @@ def rest_of(n: Column) -> Column:
 def linked_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles and component_id of every document."""
     spark = docs.sparkSession
-    docs = docs.select("doc_id", "text")
+    docs = small_batches(docs).select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    surveyed = materialize(survey(docs), "survey")
-    info = surveyed.where("set_hash is not null").select("doc_id", "n", "set_hash")
+    surveyed = materialize(survey(docs, buckets), "survey")
+    info = materialize(surveyed.where("set_hash is not null").select("doc_id", "n", "set_hash"), "sets")
     common = spark.sparkContext.broadcast(common_shingles(surveyed))
+    discard(surveyed)
     filled = info.where("doc_id is not null and n > 0")
     least = filled.groupBy("set_hash").agg(F.min("doc_id").alias("v"), F.count("*").alias("copies")).where("copies > 1").select("set_hash", "v")
-    edges = materialize(filled.join(least, "set_hash").select(F.col("doc_id").alias("u"), "v").where("u != v"), "links")
+    copies = materialize(filled.join(least, "set_hash").select(F.col("doc_id").alias("u"), "v").where("u != v"), "links")
     table = materialize(regions(windows(docs, common, buckets)), "regions")
-    labels = components(edges)
+    labels = components(copies)
 
     def merge(pairs: DataFrame) -> bool:
-        nonlocal edges, labels
         pairs = materialize(pairs.select("a", "b"), "pairs")
-        if pairs.isEmpty():
-            return False
-        found = materialize(compare(docs, pairs).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+        return not pairs.isEmpty() and join(compare(docs, pairs))
+
+    def join(found: DataFrame) -> bool:
+        nonlocal labels
+        found = materialize(found.select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
         if found.isEmpty():
             return False
-        edges = edges.union(found)
         labels = components(labels.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found))
         return True
 
     merge(star_pairs(table, labels))
+    large = table.where(F.col("size") >= LARGE)
     for _ in range(ROUNDS):
-        near = _crossing(table, labels, buckets, neighbours=True).where(F.col("met") * 16 >= F.least("n", "m"))
+        near = _crossing(large, labels, neighbours=True).where(F.col("met") * 16 >= F.least("n", "m"))
         best = near.withColumn("nth", F.row_number().over(Window.partitionBy("b").orderBy(F.desc("met"), "a"))).where("nth <= 2")
         if not merge(best):
             break
     overlap = F.ceil((F.col("n") + F.col("m")) * 3 / 7)
     possible = F.col("met") >= overlap - F.greatest(rest_of(F.col("n")), rest_of(F.col("m")))
-    merge(_crossing(table, labels, buckets, neighbours=False).where(possible))
+    join(family_links(docs, materialize(families(large, labels), "members")))
+    # Pairs that share a large region were in a family; for all others `met` counts every region they share.
+    merge(_crossing(table.where(F.col("size") < LARGE), labels, neighbours=False).where(possible))
     return info.join(labels.select(F.col("node").alias("doc_id"), "root"), "doc_id", "left").select(F.col("doc_id").cast(kind), F.col("n").alias("n_shingles"), F.coalesce("root", "doc_id").cast(kind).alias("component_id"))
 
 

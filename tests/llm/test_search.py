@@ -90,6 +90,23 @@ def test_one_of_each_group_stays(spark, copies):
     assert jaccard.linked_components(docs.limit(0)).count() == 0
 
 
+def test_sets_of_texts_are_their_shingles(monkeypatch):
+    rng = random.Random(9)
+    monkeypatch.setattr(jaccard, "PIECE", 64)
+    jaccard.powers.cache_clear()
+    texts = ["", " ", "a", "x" * 500, "x" * 500 + " y", " lead", "trail ", "a\tb\x0bc\x0cd\re", "É é", "é É é É é É", "a\u0085b c\u00a0d\x1ce f g h"] + [prose(rng, rng.randint(0, 80)) for _ in range(80)]
+    texts += [" ".join("z" * rng.randint(1, 90) for _ in range(12)) for _ in range(20)]
+    got = jaccard.shingle_sets(texts)
+    jaccard.powers.cache_clear()
+    seen = {}
+    for text, members in zip(texts, got, strict=True):
+        assert len(members) == len(sets_of(text)) and (np.diff(members.astype(object)) > 0).all()
+        assert seen.setdefault(frozenset(sets_of(text)), members.tolist()) == members.tolist()
+    for i, a in enumerate(texts):
+        for j in range(i):
+            assert len(np.intersect1d(got[i], got[j])) == len(sets_of(a) & sets_of(texts[j]))
+
+
 def test_window_bound_holds():
     for n in range(1, 400):
         assert jaccard.prefix_length(n) == n - math.ceil(0.75 * n) + 1
