@@ -4,32 +4,59 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from driftfold.operators import merge
 from driftfold.session import shared_folder
 
 
+SHARDS = 64
+
+
 class StateTable:
-    """Versions of the folded state, one a batch: a batch that runs again writes its own version again."""
+    """The folded state in SHARDS shards, each kept as the version of the last batch that touched it.
+
+    A batch reads and writes only the shards of its own entities. A batch that runs again, after a failure between
+    its write and the stream's commit, starts from versions older than itself and writes its own ones again.
+    """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path, self.version = spark, path, None
+    def __init__(self, spark: SparkSession, path: str, shards: int = SHARDS):
+        self.spark, self.path, self.shards = spark, path, shards
 
-    def read(self) -> DataFrame | None:
-        return None if self.version is None else self.spark.read.parquet(f"{self.path}/v={self.version}")
+    def shard_of(self, user_id: str = "user_id") -> Column:
+        return F.pmod(F.xxhash64(user_id), F.lit(self.shards)).cast("int")
+
+    def versions(self, before: int | None = None) -> dict[int, int]:
+        """The newest version of each shard, older than `before` where that is given: a listing, so a restart needs nothing else."""
+        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*/shard=*")
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+        newest: dict[int, int] = {}
+        for status in found:
+            name = status.getPath()
+            shard, version = int(name.getName().partition("=")[2]), int(name.getParent().getName().partition("=")[2])
+            if before is None or version < before:
+                newest[shard] = max(version, newest.get(shard, -1))
+        return newest
+
+    def read(self, shards: set[int] | None = None, before: int | None = None) -> DataFrame | None:
+        paths = [f"{self.path}/v={v}/shard={s}" for s, v in sorted(self.versions(before).items()) if shards is None or s in shards]
+        return self.spark.read.parquet(*paths) if paths else None
 
     def write(self, folded: DataFrame, version: int) -> None:
-        folded.write.mode("overwrite").parquet(f"{self.path}/v={version}")
-        self.version = version
+        dealt = folded.withColumn("shard", self.shard_of()).repartition("shard")
+        dealt.write.mode("overwrite").partitionBy("shard").parquet(f"{self.path}/v={version}")
 
 
 def fold_batch(table: StateTable, **rules):
-    """A foreachBatch function that folds each micro-batch into the table, from the version before it."""
+    """A foreachBatch function that folds each micro-batch into the table, shard by shard."""
 
     def apply(batch: DataFrame, epoch: int) -> None:
-        table.write(_fold(batch, table.read(), **rules), epoch)
+        batch = batch.persist()
+        touched = {row["shard"] for row in batch.select(table.shard_of().alias("shard")).distinct().collect()}
+        if touched:
+            table.write(_fold(batch, table.read(touched, before=epoch), **rules), epoch)
+        batch.unpersist()
 
     return apply
 
@@ -50,7 +77,7 @@ def replay(obs: DataFrame, batches: int = 3, watermark: str | None = None, **rul
     base = f"{shared_folder(spark)}/driftfold/stream-{uuid.uuid4().hex}"
     low, high = obs.agg(F.min("seq"), F.max("seq")).collect()[0]
     if low is None:
-        return merge._fold_once(_with_claim(obs), None, **rules)
+        return _fold(obs, None, **rules)
     step = (high - low) // batches + 1
     for n in range(batches):
         part = obs.where((F.col("seq") >= low + n * step) & (F.col("seq") < low + (n + 1) * step))
@@ -63,6 +90,3 @@ def replay(obs: DataFrame, batches: int = 3, watermark: str | None = None, **rul
     running.awaitTermination()
     return table.read()
 
-
-def _with_claim(obs: DataFrame) -> DataFrame:
-    return obs.withColumn("source_fingerprint", F.lit(None).cast("string")) if "source_fingerprint" not in obs.columns else obs

@@ -118,6 +118,17 @@ def test_stream_equals_batch(spark):
     assert stream == {r.user_id: r.state for r in merge.fold_observations(obs).collect()}
 
 
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    rows = [observation(1 + i % 5, i, i, VALUES[(i * 5) % 6]) for i in range(40)]
+    table = merge_stream.StateTable(spark, f"file://{tmp_path}/state", shards=3)
+    fold = merge_stream.fold_batch(table)
+    for epoch in (0, 1, 1, 1):
+        fold(frame(spark, rows[20 * epoch : 20 * epoch + 20]), epoch)
+    fold(frame(spark, rows).limit(0), 2)
+    again = {r.user_id: r.state for r in merge_stream.StateTable(spark, f"file://{tmp_path}/state", 3).read().collect()}
+    assert again == {r.user_id: r.state for r in merge.fold_observations(frame(spark, rows)).collect()}
+
+
 @pytest.mark.parametrize(("statuses", "failures"), [(["client_error"], 1), (["client_error", "timeout"], 2), (["client_error", "client_error", "reachable"], 0), (["reachable", "timeout"], 1)])
 def test_link_strikes(spark, statuses, failures):
     checks = spark.createDataFrame([("u", i, s) for i, s in enumerate(statuses)], "url string, seq long, status string")
