@@ -14,6 +14,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+T = TypeVar("T")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -128,15 +131,25 @@ def hash_sample(df: DataFrame, key: str, limit: int) -> DataFrame:
 _MADE: dict[str, object] = {}
 
 
+#: Leading characters of a key that name the use it belongs to.
+USE = 32
+
+
 def once(key: str, make: Callable[[], T]) -> T:
-    """make(), once a worker process and key; of several keys the last few are kept."""
+    """make(), once a worker process and key. What other uses have left is dropped: workers outlive them."""
     if key not in _MADE:
-        while len(_MADE) >= 4:
-            del _MADE[next(iter(_MADE))]
+        for other in [k for k in _MADE if k[:USE] != key[:USE]]:
+            del _MADE[other]
         _MADE[key] = make()
     return _MADE[key]
 
 
+def forget() -> None:
+    """Drop what earlier uses have left in this worker."""
+    _MADE.clear()
+    trim()
+
+
 def sized(df: DataFrame, name: str, rows: int, row_bytes: int) -> DataFrame:
     """df with a broadcast hint; rows * row_bytes must be a bound that holds for any input."""
     if rows * row_bytes > 1 << 28:

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from driftfold.llm.common import column, once, slices, texts_of
+from driftfold.llm.common import column, once, slices, small_batches, texts_of
 
 WORDS = re.compile(r"\w+")
 SHINGLE = 5
@@ -250,7 +250,7 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, score, overlap, question_overlap and answer_overlap of every verified hit."""
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     types = [docs.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()]
     schema = f"doc_id {types[0]}, item_id {types[1]}, score double, overlap double, question_overlap double, answer_overlap double"
     found = None
@@ -272,7 +272,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a hit, with all their columns."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in small_batches(docs).schema.fields)
     for block in item_blocks(benchmark):
         sent, key = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
 

@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from driftfold.llm.common import column, discard, materialize, slices, small_batches, texts_of
+from driftfold.llm.common import column, discard, forget, materialize, slices, small_batches, texts_of
 from driftfold.llm.components import components
 
 SHINGLE = 5
@@ -167,6 +167,7 @@ def survey(docs: DataFrame, buckets: int) -> DataFrame:
     """One row a document (doc_id, n, set_hash), and rows (bucket, keys) with the low hashes of all distinct sets of a task."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         held, size, seen = [], 0, set()
 
         def low() -> pa.RecordBatch:
@@ -236,6 +237,7 @@ def windows(docs: DataFrame, common: Broadcast, buckets: int) -> DataFrame:
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         seen = set()
         pivots, ids, sizes, held = [], [], [], 0
 

@@ -12,6 +12,7 @@ with no labelled text everything is `und`; repeated rows each get their own resu
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from driftfold.llm.common import column, fold_of, slices, small_batches, texts_of
+from driftfold.llm.common import column, fold_of, once, slices, small_batches, texts_of
 
 UNKNOWN = "und"
 FOLDS = 5
@@ -189,12 +190,6 @@ class Parser:
         return names, scores, bits
 
 
-@cache
-def parser(languages: Languages) -> Parser:
-    """Built once a worker process."""
-    return Parser(languages)
-
-
 def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Languages:
     """Languages from a bounded sample: per language the TRAIN_DOCS rows of smallest hash.
 
@@ -220,12 +215,13 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Langua
 def identify(docs: DataFrame, languages: Languages, text: str = "text") -> DataFrame:
     """docs with lang_pred, score and lang_bits (cross-parsing entropy in bits a character, null for `und`)."""
     sent = small_batches(docs).sparkSession.sparkContext.broadcast(languages)
+    key = uuid.uuid4().hex
     old = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", "lang_bits")]
     docs = docs.select(*[F.col(f"`{f.name}`") for f in old])
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
-            names, scores, bits = parser(sent.value).predict(texts_of(batch, text))
+            names, scores, bits = once(key, lambda: Parser(sent.value)).predict(texts_of(batch, text))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(bits, pa.float64())], names=[*batch.schema.names, "lang_pred", "score", "lang_bits"])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in old), "lang_pred string, score double, lang_bits double"])

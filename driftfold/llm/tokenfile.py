@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from driftfold.llm.bpe import coder, read_spec
-from driftfold.llm.common import column, materialize, slices, texts_of
+from driftfold.llm.common import column, hash_sample, materialize, slices, small_batches, texts_of
 
 END_ID = 1
 MAGIC, VERSION, HEAD = b"DFTS", 1, struct.Struct("<4sBBI32s")
@@ -125,18 +125,17 @@ class Segment:
 
 
 def fit_codec(docs: DataFrame, path: str) -> Codec:
-    """Train the dictionary on about SAMPLE_DOCS documents, taken by hash of their id."""
+    """Train the dictionary on SAMPLE_DOCS documents, taken by hash of their id."""
     spec = read_spec(path)
     sent = docs.sparkSession.sparkContext.broadcast(spec)
     width = 2 if len(coder(spec).pieces) <= 1 << 16 else 4
-    share = min(1.0, SAMPLE_DOCS / max(1, docs.count()))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = coder(sent.value)
         for batch in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([serialize(coder(sent.value).encode(x), width)[:SAMPLE_BYTES] for x in texts_of(batch)], pa.binary())], names=["ids"])
+            yield pa.RecordBatch.from_arrays([pa.array([serialize(code.encode(x), width)[:SAMPLE_BYTES] for x in texts_of(batch)], pa.binary())], names=["ids"])
 
-    picked = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))).orderBy(F.xxhash64("doc_id")).limit(2 * SAMPLE_DOCS)
-    samples = picked.select("text").mapInArrow(encode, "ids binary").toArrow().column("ids").to_pylist()
+    samples = hash_sample(docs.select("doc_id", "text"), "doc_id", SAMPLE_DOCS).select("text").mapInArrow(encode, "ids binary").toArrow().column("ids").to_pylist()
     return Codec(width, train_dictionary([x for x in samples if x]))
 
 
@@ -204,5 +203,5 @@ def read_index(segments: DataFrame, codec: Codec) -> DataFrame:
 
 def token_index(docs: DataFrame, path: str) -> DataFrame:
     """Write docs as segments and return what reading them back gives."""
-    codec = fit_codec(docs, path)
+    codec = fit_codec(small_batches(docs), path)
     return read_index(write_segments(docs, path, codec), codec)
