@@ -15,7 +15,7 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import cache
 from pathlib import Path
 
@@ -25,14 +25,14 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftfold.llm.common import column, once, slices, texts_of
+from driftfold.llm.common import column, discard, materialize, once, slices, small_batches, texts_of
 from driftfold.llm.wordtable import count_words, head_of
 
 # The vocabulary's word pattern for lower-case Latin-1 text, with its classes written out.
 _LETTER, _NUMBER, _SPACE = "a-zªµºß-öø-ÿ", "0-9²³¹¼-¾", "\\x09-\\x0d\\x20\\x85\\xa0"
 LATIN_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^{_SPACE}{_LETTER}{_NUMBER}]+")
-#: Words a worker remembers beside the head.
-MEMO = 400_000
+#: Words a worker remembers: without a head, and beside one, whose words are the frequent ones.
+MEMO, TAIL_MEMO = 400_000, 50_000
 
 
 @cache
@@ -46,12 +46,11 @@ def byte_letters() -> list[str]:
 class WordCoder(dict):
     """Maps a word to its ids as little-endian unsigned 32-bit integers; unknown words are encoded and remembered."""
 
-    def __init__(self, spec: str, known: dict[str, bytes] | None = None):
+    def __init__(self, spec: str, known: Iterable[tuple[str, bytes]] | None = None):
         from tokenizers import Tokenizer
 
-        super().__init__(known or {})
-        self.limit = len(self) + MEMO
-        self.known = known or {}
+        super().__init__(known or ())
+        self.limit = MEMO if known is None else len(self) + TAIL_MEMO
         self.tokenizer = Tokenizer.from_str(spec)
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
@@ -63,10 +62,9 @@ class WordCoder(dict):
             ids = [self.special[word]]
         else:
             ids = [t.id for t in self.tokenizer.model.tokenize("".join([self.letters[b] for b in word.encode()]))]
-        if len(self) >= self.limit:
-            self.clear()
-            self.update(self.known)
-        self[word] = out = np.array(ids, dtype="<u4").tobytes()
+        out = np.array(ids, dtype="<u4").tobytes()
+        if len(self) < self.limit:
+            self[word] = out
         return out
 
     def words(self, text: str) -> list[str]:
@@ -94,17 +92,16 @@ class WordCoder(dict):
         return " ".join(map(self.pieces.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
 
 
-@cache
 def coder(spec: str) -> WordCoder:
-    """One a worker process, without a head."""
-    return WordCoder(spec)
+    """One a worker process and vocabulary, without a head."""
+    return once(hashlib.md5(spec.encode()).hexdigest(), lambda: WordCoder(spec))
 
 
 def headed_coder(key: str, spec: Broadcast, head: Broadcast) -> WordCoder:
     """One a worker process for each head, which the key names."""
 
     def make() -> WordCoder:
-        return WordCoder(spec.value, dict(zip(*(head.value.column(c).to_pylist() for c in ("word", "ids")), strict=True)))
+        return WordCoder(spec.value, zip(*(head.value.column(c).to_pylist() for c in ("word", "ids")), strict=True))
 
     return once(key, make)
 
@@ -132,15 +129,15 @@ def encoded_head(docs: DataFrame, spec: Broadcast) -> Broadcast:
             words = column(batch, "word").to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([code[w] for w in words], pa.binary())], names=["word", "ids"])
 
-    counted = distinct_words(docs, spec).persist()
+    counted = materialize(distinct_words(docs, spec), "distinct")
     head = head_of(counted).select("word").mapInArrow(encode, "word string, ids binary").toArrow()
-    counted.unpersist()
+    discard(counted)
     return docs.sparkSession.sparkContext.broadcast(head)
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """docs with ids (binary, little-endian unsigned 32-bit) and decoded; columns of those names are replaced."""
-    docs = docs.drop("ids", "decoded")
+    docs = small_batches(docs).drop("ids", "decoded")
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(path))
     head = encoded_head(docs.select(F.col(text).alias("text")), spec)
     key = uuid.uuid4().hex
@@ -158,7 +155,7 @@ def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFram
 def bpe_digest(docs: DataFrame, path: str) -> DataFrame:
     """doc_id, n_tokens and digests of ids and decoded text, hashed where they are made so that neither leaves the task."""
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(path))
-    docs = docs.select("doc_id", "text")
+    docs = small_batches(docs).select("doc_id", "text")
     head = encoded_head(docs, spec)
     key = uuid.uuid4().hex
 

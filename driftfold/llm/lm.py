@@ -19,13 +19,14 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftfold.llm.common import column, fold_of, materialize, once, slices, small_batches, texts_of
+from driftfold.llm.common import column, discard, fold_of, materialize, once, slices, small_batches, texts_of
 from driftfold.llm.wordtable import count_words, head_of
 
 FOLDS, HELD_OUT = 7, 2
@@ -234,7 +235,7 @@ class Scorer:
 
 def train_trie(docs: DataFrame, nodes: int = NODES) -> Trie:
     """The trie of all texts; of more than `nodes` full-length grams those of the lowest counts are left out."""
-    counted = count_grams(docs).persist()
+    counted = materialize(count_grams(docs), "grams")
     levels = counted.groupBy(F.floor(F.log2("n") * 8).cast("int").alias("level")).count().orderBy(F.desc("level")).collect()
     kept, least = 0, 0
     for row in levels:
@@ -242,7 +243,7 @@ def train_trie(docs: DataFrame, nodes: int = NODES) -> Trie:
             break
         kept, least = kept + row["count"], row["level"]
     found = counted.where(F.floor(F.log2("n") * 8) >= least).toArrow()
-    counted.unpersist()
+    discard(counted)
     grams = found.column("gram").to_numpy().astype(np.uint64)
     order = np.argsort(grams)
     return Trie(grams[order], found.column("n").to_numpy()[order])
@@ -277,7 +278,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
             n_tokens, n_known, base, rare, streams = [], [], [], [], []
             for text in texts_of(batch):
                 tokens = tokens_of(text)
-                at = np.array([index.get(t, -1) for t in tokens], dtype=np.int64)
+                at = np.fromiter(map(index.get, tokens, repeat(-1)), np.int64, len(tokens))
                 n_tokens.append(len(tokens) + 1)
                 n_known.append(int((counts[at] > 0)[at >= 0].sum() if len(counts) else 0) + (ends > 0))
                 base.append(float(logs[at].sum() + np.log10(ends + 1.0)))

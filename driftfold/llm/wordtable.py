@@ -28,25 +28,21 @@ def count_words(docs: DataFrame, splitter: Callable[[], Callable[[str], list]],
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split = splitter()
-        total = Counter()
-        weighted = Counter() if weight else total
+        plain, weighted = Counter(), Counter()
 
         def flush() -> pa.RecordBatch:
-            words = list(total)
-            batch = pa.RecordBatch.from_arrays([pa.array(words, pa.binary() if binary else pa.string()), pa.array(total.values(), pa.int64()), pa.array([weighted[w] for w in words], pa.int64())], names=["word", "n", "n_weighted"])
-            total.clear()
+            words = [*weighted, *(w for w in plain if w not in weighted)]
+            batch = pa.RecordBatch.from_arrays([pa.array(words, pa.binary() if binary else pa.string()), pa.array([plain[w] + weighted[w] for w in words], pa.int64()), pa.array([weighted[w] for w in words], pa.int64())], names=["word", "n", "n_weighted"])
+            plain.clear()
             weighted.clear()
             return batch
 
         for batch in slices(batches):
             for text, counts in zip(texts_of(batch), batch.column(1).to_pylist(), strict=True):
-                words = split(text)
-                total.update(words)
-                if counts and weight:
-                    weighted.update(words)
-            if len(total) >= FLUSH:
+                (weighted if counts else plain).update(split(text))
+            if len(plain) + len(weighted) >= FLUSH:
                 yield flush()
-        if total:
+        if plain or weighted:
             yield flush()
 
     parts = docs.select(*columns).mapInArrow(count, f"word {'binary' if binary else 'string'}, n long, n_weighted long")

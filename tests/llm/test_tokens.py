@@ -39,6 +39,7 @@ def test_a_small_head_changes_nothing(all_docs, monkeypatch, head):
     whole = order(tuple(r) for r in bpe.bpe_digest(all_docs, PATH).collect())
     monkeypatch.setattr(wordtable.head_of, "__defaults__", (head,))
     monkeypatch.setattr(bpe, "MEMO", 10)
+    monkeypatch.setattr(bpe, "TAIL_MEMO", 10)
     assert order(tuple(r) for r in bpe.bpe_digest(all_docs, PATH).collect()) == whole
 
 
