@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from driftfold.llm.common import column, slices, texts_of
+from driftfold.llm.common import column, hash_sample, slices, small_batches, texts_of
 
 #: The base kinds in the order in which spans of equal start are listed; markov is this method's own.
 BASE_KINDS = ("assign", "access", "hex")
@@ -32,14 +32,13 @@ ASSIGN_WORDS = ("passw", "secret", "token", "api")
 # Runs of that many characters or more are the runs that pass the length test.
 ACCESS = re.compile("AKIA[A-Z0-9]{16,}")
 HEX = re.compile("(?<![0-9a-f])[0-9a-f]{24,}")
-DIGIT_OR_CASE = re.compile("[0-9]|[a-z][A-Z]")
 TOKEN = re.compile("[A-Za-z0-9+/_-]{20,}={0,2}")
 
 #: Bounds of the labelled samples: documents read, identifiers kept, random strings drawn.
 SAMPLE_DOCS, SAMPLE_WORDS, SAMPLE_RANDOM = 400, 20_000, 20_000
 #: How much better, in nats a character, random must explain a token than ordinary text does.
 MARGIN = 0.7
-#: Share of characters other than letters of one case that a token needs beside the ratio.
+#: Characters that the models know; the last one stands for the start of a token.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-^"
 CODE = np.zeros(256, dtype=np.int64)
 CODE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
@@ -91,13 +90,7 @@ def random_samples(n: int = SAMPLE_RANDOM, seed: int = 7) -> list[str]:
 
 def identifier_samples(docs: DataFrame, limit: int = SAMPLE_DOCS) -> list[str]:
     """Ordinary words of a sample of documents: those of the smallest id hashes, at most 20,000 characters of each."""
-    rows = (
-        docs.select(F.xxhash64("doc_id").alias("h"), F.substring("text", 1, 20_000).alias("text"))
-        .where("text is not null")
-        .orderBy("h", "text")
-        .limit(limit)
-        .collect()
-    )
+    rows = hash_sample(docs.where("text is not null").select("doc_id", F.substring("text", 1, 20_000).alias("text")), "doc_id", limit).collect()
     words: dict[str, None] = {}
     for row in rows:
         for word in re.findall("[A-Za-z][A-Za-z_-]*", row["text"]):
@@ -131,7 +124,7 @@ def _markov(text: str, models: MarkovPair) -> Iterator[tuple[int, int]]:
 
 def scan_secrets(docs: DataFrame, models: MarkovPair) -> DataFrame:
     """doc_id, counts by kind, digest of the base spans and all spans as text."""
-    models_of = docs.sparkSession.sparkContext.broadcast(models)
+    models_of = small_batches(docs).sparkSession.sparkContext.broadcast(models)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
