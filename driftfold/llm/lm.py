@@ -6,9 +6,12 @@ unseen byte escapes to the next shorter one with probability distinct / (total +
 symbols of the longer context are excluded there; below the empty context all other bytes are equal. A
 document's score is the pretrained code length, negated, in log10: its tokens joined by spaces, then an end.
 
-The trie that is sent to workers has at most NODES grams of full length: where a corpus has more, the rarest
-ones are left out, level by level, and their bytes are coded by the shorter contexts. Word counts are not
-bounded: the head of their table is broadcast (see wordtable), tokens outside it meet their counts in a join.
+All counts are kept, of grams as of words; what is sent to workers is the head of each table, for speed: the
+commonest words (see wordtable) and the commonest NODES full-length grams at most, with probabilities from all
+counts. Tokens outside the head meet their counts in a join. Grams outside it are gathered, distinct ones once,
+and dealt out with the whole table by the LOW + 1 bytes before the last one, so that each part has all counts
+of the contexts longer than LOW that its grams escape through; those of the shorter ones, at most 2^24 grams of
+LOW + 1 bytes for any corpus, are sent to all.
 
 Edge cases: null and empty texts consist of the end token; a null doc_id is in the training part; repeated
 rows count and score each; with no training texts all bytes are equal and no token is known.
@@ -25,14 +28,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from driftfold.llm.common import column, discard, fold_of, materialize, once, slices, small_batches, texts_of
+from driftfold.llm.common import column, discard, fold_of, materialize, once, slices, small_batches, texts_of, trim
 from driftfold.llm.wordtable import count_words, head_of
 
 FOLDS, HELD_OUT = 7, 2
 ORDER = 5
 END = b"\n"
 NODES = 1 << 21
+#: Contexts of at most so many bytes are counted for all parts together; distinct grams in a part, about.
+LOW, PART = 2, 1 << 18
 #: Bytes scored or counted at once, and distinct grams a task holds before it passes them on.
 CHUNK, HELD = 1 << 20, 1 << 20
 #: No gram of ORDER + 1 bytes has this code.
@@ -117,10 +123,11 @@ def count_grams(docs: DataFrame) -> DataFrame:
 
 @dataclass
 class Trie:
-    """Sorted full-length grams with counts; levels, sums and the probability of each gram are made from them where needed."""
+    """Sorted full-length grams with counts; `logs`, where given, are their log10 probabilities by counts of more grams than these."""
 
     grams: np.ndarray
     counts: np.ndarray
+    logs: np.ndarray | None = None
 
 
 class Level:
@@ -150,30 +157,59 @@ def lookup(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return at, table[at] == keys
 
 
-class Scorer:
-    """log10 probabilities: a hash table for grams of full length, the escape chain for the rest."""
-
-    def __init__(self, trie: Trie):
-        grams, counts = trie.grams, trie.counts
-        self.levels = [Level(grams, counts)]
-        for k in range(ORDER - 1, -1, -1):
-            short, back = np.unique(grams & np.uint64((1 << 8 * (k + 1)) - 1), return_inverse=True)
-            level = Level(short, np.bincount(back, weights=counts, minlength=len(short)).astype(np.int64))
-            above = self.levels[-1]
-            at, _ = level.gram(above.grams & np.uint64((1 << 8 * (k + 1)) - 1))
-            if len(above.grams):
-                above.excluded = np.add.reduceat(level.counts[at], above.first)
-            self.levels.append(level)
-            grams, counts = level.grams, level.counts
-        top = self.levels[0]
-        of = np.repeat(np.arange(len(top.contexts)), top.distinct)
-        logs = np.log10(top.counts / (top.total + top.distinct)[of]) if len(top.grams) else np.zeros(0)
-        self._fill(top.grams, logs)
-        # Only grams that the hash table lacks walk down the levels, so the first level's own grams are not needed again.
-        top.grams, top.counts = top.grams[:0], top.counts[:0]
-
-    def _fill(self, grams: np.ndarray, logs: np.ndarray) -> None:
-        """Open addressing, filled in rounds: of the grams that want a free slot one gets it, the others move on."""
+def mask(size: int) -> int:
+    """The last `size` bytes of a gram."""
+    return (1 << 8 * size) - 1
+
+
+def levels_of(grams: np.ndarray, counts: np.ndarray, low: tuple[np.ndarray, np.ndarray] | None = None) -> list[Level]:
+    """The levels from full length down to the empty context; from contexts of LOW bytes on by the grams and counts in `low`, where given."""
+    levels = [Level(grams, counts)]
+    for k in range(ORDER - 1, -1, -1):
+        above = levels[-1]
+        if low is not None and k == LOW:
+            level = Level(*low)
+        else:
+            short, back = np.unique(above.grams & np.uint64(mask(k + 1)), return_inverse=True)
+            level = Level(short, np.bincount(back, weights=above.counts, minlength=len(short)).astype(np.int64))
+        at, _ = level.gram(above.grams & np.uint64(mask(k + 1)))
+        if len(above.grams):
+            above.excluded = np.add.reduceat(level.counts[at], above.first)
+        levels.append(level)
+    return levels
+
+
+def escaped(levels: list[Level], codes: np.ndarray) -> np.ndarray:
+    """log10 P of the last byte of any grams, by walking down the contexts."""
+    out = np.zeros(len(codes))
+    done = np.zeros(len(codes), bool)
+    seen = np.zeros(len(codes), np.int64)  # total and distinct symbols that the longer context excludes here
+    kinds = np.zeros(len(codes), np.int64)
+    for k, level in enumerate(levels):
+        masked = codes & np.uint64(mask(ORDER - k + 1))
+        ctx, known = level.context(masked)
+        at, hit = level.gram(masked)
+        if not len(level.contexts):
+            continue
+        total, distinct = level.total[ctx] - seen, level.distinct[ctx] - kinds
+        base = np.maximum(total + distinct, 1)
+        use = known & ~done & (distinct > 0)
+        ends = use & hit
+        out[ends] += np.log10(level.counts[at[ends]] / base[ends])
+        done |= ends
+        goes = use & ~hit
+        out[goes] += np.log10(distinct[goes] / base[goes])
+        seen = np.where(known, level.excluded[ctx], 0)
+        kinds = np.where(known, level.distinct[ctx], 0)
+    out[~done] -= np.log10(256 - kinds[~done])
+    return out
+
+
+class Hashed:
+    """Grams and their log10 probabilities by open addressing."""
+
+    def __init__(self, grams: np.ndarray, logs: np.ndarray):
+        """Filled in rounds: of the grams that want a free slot one gets it, the others move on."""
         self.bits = max(4, int(np.ceil(np.log2(max(1, len(grams)) * 1.4))))
         self.keys = np.full(1 << self.bits, EMPTY)
         self.logs = np.zeros(1 << self.bits, dtype=np.float32)
@@ -188,12 +224,13 @@ class Scorer:
     def slot(self, codes: np.ndarray) -> np.ndarray:
         return ((codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
 
-    def log10(self, codes: np.ndarray) -> np.ndarray:
-        """log10 P of the last byte of each gram after the bytes before it."""
+    def find(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log10 P of the last byte of each gram after the bytes before it, 0 where the gram is not here; the positions of those."""
         slot = self.slot(codes)
         keys, out = self.keys[slot], self.logs[slot].astype(np.float64)
         left = np.flatnonzero(keys != codes)
-        slot, keys, missing = slot[left], keys[left], []
+        out[left] = 0
+        slot, keys, missing = slot[left], keys[left], [left[:0]]
         while len(left):
             empty = keys == EMPTY
             missing.append(left[empty])
@@ -202,51 +239,77 @@ class Scorer:
             hit = keys == codes[left]
             out[left[hit]] = self.logs[slot[hit]]
             left, slot, keys = left[~hit], slot[~hit], keys[~hit]
-        if missing and len(absent := np.concatenate(missing)):
-            distinct, back = np.unique(codes[absent], return_inverse=True)
-            out[absent] = self.escaped(distinct)[back]
-        return out
+        return out, np.sort(np.concatenate(missing))
+
 
-    def escaped(self, codes: np.ndarray) -> np.ndarray:
-        """The same for any grams, by walking down the contexts."""
-        out = np.zeros(len(codes))
-        done = np.zeros(len(codes), bool)
-        seen = np.zeros(len(codes), np.int64)  # total and distinct symbols that the longer context excludes here
-        kinds = np.zeros(len(codes), np.int64)
-        for k, level in enumerate(self.levels):
-            masked = codes & np.uint64((1 << 8 * (ORDER - k + 1)) - 1)
-            ctx, known = level.context(masked)
-            at, hit = level.gram(masked)
-            if not len(level.contexts):
-                continue
-            total, distinct = level.total[ctx] - seen, level.distinct[ctx] - kinds
-            base = np.maximum(total + distinct, 1)
-            use = known & ~done & (distinct > 0)
-            ends = use & hit
-            out[ends] += np.log10(level.counts[at[ends]] / base[ends])
-            done |= ends
-            goes = use & ~hit
-            out[goes] += np.log10(distinct[goes] / base[goes])
-            seen = np.where(known, level.excluded[ctx], 0)
-            kinds = np.where(known, level.distinct[ctx], 0)
-        out[~done] -= np.log10(256 - kinds[~done])
+class Scorer:
+    """log10 probabilities by one trie: a hash table for grams of full length, the escape chain for the rest."""
+
+    def __init__(self, trie: Trie):
+        self.levels = levels_of(trie.grams, trie.counts)
+        top, logs = self.levels[0], trie.logs
+        if logs is None:
+            of = np.repeat(np.arange(len(top.contexts)), top.distinct)
+            logs = np.log10(top.counts / (top.total + top.distinct)[of]) if len(top.grams) else np.zeros(0)
+        self.hashed = Hashed(top.grams, logs)
+
+    def log10(self, codes: np.ndarray) -> np.ndarray:
+        """log10 P of the last byte of each gram after the bytes before it."""
+        out, absent = self.hashed.find(codes)
+        distinct, back = np.unique(codes[absent], return_inverse=True)
+        out[absent] = escaped(self.levels, distinct)[back]
         return out
 
 
-def train_trie(docs: DataFrame, nodes: int = NODES) -> Trie:
-    """The trie of all texts; of more than `nodes` full-length grams those of the lowest counts are left out."""
-    counted = materialize(count_grams(docs), "grams")
-    levels = counted.groupBy(F.floor(F.log2("n") * 8).cast("int").alias("level")).count().orderBy(F.desc("level")).collect()
-    kept, least = 0, 0
-    for row in levels:
+def head_trie(counted: DataFrame, nodes: int) -> Trie:
+    """The commonest grams of a table of all, at most `nodes`, level by level; their probabilities are by all counts."""
+    level = F.floor(F.log2("n") * 8).cast("int")
+    kept, least = 0, None
+    for row in counted.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
         if kept + row["count"] > nodes:
             break
         kept, least = kept + row["count"], row["level"]
-    found = counted.where(F.floor(F.log2("n") * 8) >= least).toArrow()
-    discard(counted)
+    context = Window.partitionBy(F.shiftright("gram", 8))
+    logs = counted.withColumn("log", F.log10(F.col("n") / (F.sum("n").over(context) + F.count("*").over(context))))
+    found = logs.where(F.lit(False) if least is None else level >= least).toArrow()
     grams = found.column("gram").to_numpy().astype(np.uint64)
     order = np.argsort(grams)
-    return Trie(grams[order], found.column("n").to_numpy()[order])
+    return Trie(grams[order], found.column("n").to_numpy()[order], found.column("log").to_numpy()[order].astype(np.float32))
+
+
+def train_trie(docs: DataFrame, nodes: int = NODES) -> Trie:
+    """The head of the texts' grams, at most `nodes`."""
+    counted = materialize(count_grams(docs), "grams")
+    head = head_trie(counted, nodes)
+    discard(counted)
+    return head
+
+
+def gram_logs(counted: DataFrame, asked: DataFrame) -> DataFrame:
+    """(gram, log) for distinct grams, seen or not, by all counts of the table `counted`."""
+    spark = counted.sparkSession
+    short = counted.groupBy(F.col("gram").bitwiseAND(mask(LOW + 1)).alias("gram")).agg(F.sum("n").alias("n")).toArrow()
+    grams = short.column("gram").to_numpy().astype(np.uint64)
+    order = np.argsort(grams)
+    low = spark.sparkContext.broadcast((grams[order], short.column("n").to_numpy()[order]))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [(column(b, "gram").to_numpy().astype(np.uint64), column(b, "n").to_numpy()) for b in batches]
+        if not parts:
+            return
+        grams, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        parts.clear()
+        asks, grams, n = grams[n == 0], grams[n > 0], n[n > 0]
+        order = np.argsort(grams)
+        levels = levels_of(grams[order], n[order], low.value)
+        for at in range(0, len(asks), 200_000):
+            some = asks[at : at + 200_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int64)), pa.array(escaped(levels, some))], names=["gram", "log"])
+        trim()
+
+    both = counted.select("gram", "n").unionByName(asked.select("gram", F.lit(0).cast("long").alias("n")))
+    parts = max(spark.sparkContext.defaultParallelism, counted.count() // PART)
+    return both.repartition(parts, F.shiftright("gram", 8).bitwiseAND(mask(LOW + 1))).mapInArrow(walk, "gram long, log double")
 
 
 def known_head(head: pa.Table) -> tuple[dict[bytes, int], np.ndarray]:
@@ -257,7 +320,7 @@ def _splitter() -> Callable[[str], list[bytes]]:
     return tokens_of
 
 
-def score_documents(docs: DataFrame) -> DataFrame:
+def score_documents(docs: DataFrame, nodes: int = NODES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
     spark = small_batches(docs).sparkSession
     fold = fold_of("doc_id", FOLDS)
@@ -267,12 +330,12 @@ def score_documents(docs: DataFrame) -> DataFrame:
     ends = rows.where("learn").count()
     n_train, v_train = (totals["n"] or 0) + ends, (totals["v"] or 0) + (ends > 0)
     head = spark.sparkContext.broadcast(head_of(words).select("word", "n_weighted").toArrow())
-    trie = spark.sparkContext.broadcast(train_trie(rows.where("learn")))
-
+    grams = materialize(count_grams(rows.where("learn")), "grams")
+    trie = spark.sparkContext.broadcast(head_trie(grams, nodes))
     key = uuid.uuid4().hex
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, (index, counts) = once(key + "trie", lambda: Scorer(trie.value)), once(key + "head", lambda: known_head(head.value))
+        model, (index, counts) = once(key + "trie", lambda: Hashed(trie.value.grams, trie.value.logs)), once(key + "head", lambda: known_head(head.value))
         logs = np.log10(np.append(counts, 0) + 1.0)
         for batch in slices(batches):
             n_tokens, n_known, base, rare, streams = [], [], [], [], []
@@ -284,25 +347,38 @@ def score_documents(docs: DataFrame) -> DataFrame:
                 base.append(float(logs[at].sum() + np.log10(ends + 1.0)))
                 rare.append([tokens[i] for i in np.flatnonzero(at < 0)])
                 streams.append(stream(tokens))
-            scores = np.zeros(len(streams))
+            scores, offsets, absent = np.zeros(len(streams)), [np.zeros(1, np.int64)], []
             for group in chunks(streams):
-                each = model.log10(gram_codes([streams[i] for i in group]))
-                starts = np.concatenate(([0], np.cumsum([len(streams[i]) for i in group])[:-1]))
-                scores[group] = np.add.reduceat(each, starts)
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "held_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(scores), pa.array(rare, pa.list_(pa.binary()))], names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
+                codes, sizes = gram_codes([streams[i] for i in group]), [len(streams[i]) for i in group]
+                each, at = model.find(codes)
+                scores[group] = np.add.reduceat(each, np.cumsum([0, *sizes[:-1]]))
+                # The distinct grams of each text that the head lacks, and how often they occur there.
+                owner, codes = np.repeat(np.arange(len(group)), sizes)[at], codes[at]
+                order = np.lexsort((codes, owner))
+                owner, codes = owner[order], codes[order]
+                first = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (codes[1:] != codes[:-1])))) if len(codes) else np.zeros(0, np.int64)
+                absent.append((codes[first].astype(np.int64), np.diff(np.append(first, len(codes)))))
+                offsets.append(offsets[-1][-1] + np.cumsum(np.bincount(owner[first], minlength=len(group))))
+            pairs = pa.StructArray.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*absent, strict=True)], names=["gram", "times"])
+            absent = pa.ListArray.from_arrays(pa.array(np.concatenate(offsets), pa.int32()), pairs)
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), column(batch, "held_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(scores), pa.array(rare, pa.list_(pa.binary())), absent], names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare", "absent"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    parts = rows.mapInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<binary>")
-    # Written, so that the generated row number means the same row in both uses below.
+    parts = rows.mapInArrow(score, f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<binary>, absent array<struct<gram: bigint, times: bigint>>")
+    # Written, so that the generated row number means the same row in all uses below.
     scored = materialize(parts.withColumn("row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("row", F.explode("rare").alias("word")).join(words.where("n_weighted > 0").select("word", "n_weighted"), "word")
     found = rare.groupBy("row").agg(F.count("*").alias("more"), F.sum(F.log10(F.col("n_weighted") + 1.0)).alias("logs"))
-    return scored.drop("rare").join(found, "row", "left").select(
+    absent = scored.select("row", F.inline("absent"))
+    logs = materialize(gram_logs(grams, absent.select("gram").distinct()), "logs")
+    discard(grams)
+    escapes = absent.join(logs, "gram").groupBy("row").agg(F.sum(F.col("times") * F.col("log")).alias("escapes"))
+    return scored.drop("rare", "absent").join(found, "row", "left").join(escapes, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
         F.lit(n_train).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * float(np.log10(n_train + v_train + 1))).alias("base_score"),
-        "score",
+        (F.col("score") + F.coalesce("escapes", F.lit(0.0))).alias("score"),
     )

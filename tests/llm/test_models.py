@@ -123,6 +123,16 @@ def test_a_pruned_trie_still_scores(all_docs):
     assert np.isfinite(lm.Scorer(small).log10(lm.gram_codes([b"anything at all\n"]))).all()
 
 
+@pytest.mark.parametrize("nodes", [0, 300, lm.NODES])
+def test_grams_outside_the_head_meet_their_counts(all_docs, nodes):
+    docs = all_docs.where("doc_id < 40 or doc_id = 901").selectExpr("doc_id", "substr(text, 1, 400) || if(doc_id % 3 = 0, ' \u4f60\u597d\u20ac', '') as text")
+    texts = {r.doc_id: lm.stream(lm.tokens_of(r.text or "")) for r in docs.collect()}
+    held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d in texts}
+    train = [s for d, s in texts.items() if not held[d]]
+    got = {r.doc_id: r.score for r in lm.score_documents(docs, nodes).collect()}
+    assert any(held.values()) and got == pytest.approx({d: plain_ppm(train, s) for d, s in texts.items()}, rel=1e-5)
+
+
 def test_no_training_texts(spark):
     only = spark.createDataFrame([(d, "held out") for d in range(200) if zlib.crc32(str(d).encode()) % 7 == 2][:2], "doc_id long, text string")
     rows = lm.score_documents(only).collect()
