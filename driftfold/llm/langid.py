@@ -2,11 +2,14 @@
 
 For each language a suffix automaton of labelled text is built. A text is cut, greedily, into the longest
 phrases that occur in a language's labelled text; the language that needs the fewest phrases, normalised by
-the length of its labelled text (phrases * log2(length) / characters, the cross-parsing entropy), wins.
+the length of its labelled text (phrases * log2(length + alphabet) / characters, the cross-parsing entropy), wins.
+A phrase is one of so many places or characters, so little labelled text does not make phrases cheap; a character
+that a language lacks costs every language what it costs the one with the longest text.
 
 Long texts are parsed whole, in segments of SEGMENT characters: a cut costs each language the same phrase.
 
-Edge cases: null text or text without a letter is `und` with score 0; ties go to the first language by name;
+Edge cases: labelled rows without a letter teach nothing, so a language of such rows alone is none; null text or
+text without a letter is `und` with score 0; ties go to the first language by name;
 with no labelled text everything is `und`; repeated rows each get their own result; extra columns are ignored.
 """
 
@@ -110,8 +113,10 @@ class Parser:
             if c < TABLE:
                 self.code[c] = i + 1
         tables, self.starts, self.bits, rows = [], [], [], 0
-        for _, text in languages.texts:
+        self.lacks = np.ones((len(self.names), self.width), dtype=np.int64)
+        for i, (_, text) in enumerate(languages.texts):
             codes = self.codes(self.normal(text)[0])
+            self.lacks[i, codes] = 0
             moves = suffix_automaton(codes.tolist(), self.width)
             # One more state, between phrases: any character starts a phrase there, and one that occurs nowhere is a phrase and leads back.
             between = len(moves)
@@ -120,7 +125,7 @@ class Parser:
             rest = moves < 0
             tables.append(np.where(rest, (first[None, :] + rows) * (2 * self.width) + 1, (moves + rows) * (2 * self.width)))
             self.starts.append((rows + between) * 2 * self.width)
-            self.bits.append(np.log2(max(2, len(codes))))
+            self.bits.append(np.log2(len(codes) + self.width))
             rows += len(moves)
         self.steps = np.concatenate(tables).astype(np.int64 if rows * self.width >= 1 << 30 else np.int32).ravel() if tables else np.zeros(0, np.int32)
 
@@ -161,7 +166,7 @@ class Parser:
         if not self.names:
             return names, scores, bits
         segments, owner, size = [], [], np.zeros(len(texts))
-        total = np.zeros((len(texts), len(self.names)))
+        total, lacking = np.zeros((len(texts), len(self.names))), np.zeros((len(texts), len(self.names)))
 
         def flush() -> None:
             if segments:
@@ -175,13 +180,16 @@ class Parser:
                 continue
             codes = self.codes(points)
             size[i] = len(codes)
+            lacking[i] = self.lacks @ np.bincount(codes, minlength=self.width)
             for at in range(0, len(codes), SEGMENT):
                 segments.append(codes[at : at + SEGMENT])
                 owner.append(i)
             if len(segments) >= STREAMS:
                 flush()
         flush()
-        entropy = total * np.array(self.bits) / np.maximum(size, 1)[:, None]
+        bits_each = np.array(self.bits)
+        # Each character that a language lacks is a phrase of its own.
+        entropy = (total * bits_each + lacking * (bits_each.max() - bits_each)) / np.maximum(size, 1)[:, None]
         for i in np.flatnonzero(size):
             best = int(np.argmin(entropy[i]))
             others = np.delete(entropy[i], best)
@@ -196,7 +204,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Langua
     A first pass counts rows per language, so that the second one only ranks about four times the wanted
     number of rows for each language, however many there are.
     """
-    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64("doc_id", text).alias("h")).where("lang is not null and text is not null")
+    rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64("doc_id", text).alias("h")).where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return Languages(())
@@ -209,7 +217,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Langua
     for r in found:
         if len(joined.get(r["lang"], "")) < each:
             joined[r["lang"]] = joined.get(r["lang"], "") + r["text"] + "\n"
-    return Languages(tuple((k, v[:each]) for k, v in sorted(joined.items())))
+    return Languages(tuple((k, v[:each]) for k, v in sorted(joined.items()) if is_letter(code_points(v[:each])).any()))
 
 
 def identify(docs: DataFrame, languages: Languages, text: str = "text") -> DataFrame:

@@ -53,6 +53,19 @@ def test_language_edges(odd_docs, all_docs):
     assert langid.held_out_prediction(odd_docs.limit(0)).count() == 0
 
 
+def test_little_labelled_text_does_not_win(spark, all_docs):
+    little = [(5000, "", "aa"), (5001, "12 34", "ab"), (5002, "hola", "ac"), (5003, "\u4f60", "ad")]
+    docs = all_docs.where("lang is not null").select("doc_id", "text", "lang")
+    learned = langid.train(docs.unionByName(spark.createDataFrame(little, docs.schema)))
+    assert not {"aa", "ab"} & set(learned.names) and {"ac", "ad", "en"} <= set(learned.names)
+    texts = [(r.text, r.lang) for r in docs.collect() if r.doc_id is not None and r.doc_id < 900 and len((r.text or "").split()) >= 10]
+    names, _, bits = langid.Parser(learned).predict([t for t, _ in texts])
+    assert sum(n == x for n, (_, x) in zip(names, texts, strict=True)) > 0.97 * len(texts) and len(texts) > 100
+    # Nor the texts of a script that no language has.
+    two = langid.Parser(langid.Languages((("en", "the quick brown fox"), ("zz", "q"))))
+    assert two.predict(["\u4f60\u597d \u4e16\u754c"])[0] == ["en"]
+
+
 def plain_ppm(train, text):
     """log10 P(text) by walking down from the longest context, symbol by symbol."""
     counts = defaultdict(Counter)
