@@ -109,14 +109,16 @@ class Index:
 
     def promising(self, ids: np.ndarray) -> np.ndarray:
         """Which rows of term ids (sorted; the number of terms stands for none) can reach the threshold, by the terms' bounds, then by the blocks'."""
+        # As in search, less what sums of float32 may lose.
+        least = 0.9999 - ids.shape[1] * 2.0**-23
         fresh = np.ones(ids.shape, dtype=bool)
         fresh[:, 1:] = ids[:, 1:] != ids[:, :-1]
-        found = np.flatnonzero((self.most[ids] * fresh).sum(1) >= 1)
+        found = np.flatnonzero((self.most[ids] * fresh).sum(1) >= least)
         kept = []
         for at in range(0, len(found), 256):
             rows = found[at : at + 256]
             bound = np.einsum("rpb,rp->rb", self.by_block[ids[rows]], fresh[rows].astype(np.float32))
-            kept.append(rows[bound.max(1) >= 0.9999])
+            kept.append(rows[bound.max(1) >= least])
         return np.concatenate(kept) if kept else found
 
     def search(self, terms: list[int]) -> Iterator[tuple[int, float]]:

@@ -156,6 +156,17 @@ def test_wand_finds_all_that_verify(spark):
     assert kept == {*range(120), 500, 501} - want.keys()
 
 
+def test_exact_copies_of_short_items_are_found():
+    rng = random.Random(11)
+    items = []
+    for i in range(400):
+        own = [f"{rng.choice(WORDS)}{i}{x}" for x in "abcd"[: rng.randint(2, 4)]]
+        items.append((i, " ".join(own + rng.choices(own, k=rng.randint(2, 7 - len(own))))))
+    bench = decontam.Benchmark(items)
+    missed = [text for (i, text), hits in zip(items, bench.hits([t for _, t in items]), strict=True) if i not in {h.item_id for h in hits.values()}]
+    assert not missed
+
+
 def test_wand_scores_are_bm25():
     rng = random.Random(8)
     bench = decontam.Benchmark([(i, prose(rng, 20)) for i in range(80)])
