@@ -1,8 +1,9 @@
 """Benchmark decontamination: BM25 over an inverted index of test items, searched with block-max WAND.
 
-Items are indexed in classes of similar length. A document is cut into passages of twice a class's length,
-half overlapping, so that each item it holds lies whole in one of them; every passage queries the index for
-all items above their threshold. An item's threshold is the least BM25 score that a passage with OVERLAP of
+Items are indexed in classes of similar length. A document is cut into passages of SPAN times a class's length,
+half overlapping. So each copy of an item lies whole in one of them, wherever it starts, also with words put in:
+as many as a class's length in all, at the least. A copy drawn out further may be cut by all passages. Every
+passage that has a shingle of any item queries the index for all items above their threshold. An item's threshold is the least BM25 score that a passage with OVERLAP of
 its five-word shingles can have: its full score less the weights of as many terms as the missing shingles
 can uncover, the heaviest ones. So retrieval loses nothing that verification would accept. Scores are divided
 by the threshold, which is then 1 for all items.
@@ -41,8 +42,10 @@ K1, B = 1.2, 0.75
 ITEM_BLOCK, ITEM_CHARS, POSTING_BLOCK = 4_096, 8_000_000, 16
 #: Shortest class of items in words; each next one is twice as long.
 SHORTEST = 32
-#: Passages looked at together.
-PASSAGES = 4_096
+#: Length of a passage in class lengths, half of which may be an item with what has been put into it.
+SPAN = 4
+#: Words of the passages looked at together.
+PASSAGE_WORDS = 1 << 18
 
 
 def words_of(text: str) -> list[str]:
@@ -96,6 +99,12 @@ class Index:
                 self.postings[tid].weights.append(weight / threshold)
         for p in self.postings:
             p.close()
+        grams = defaultdict(list)
+        for _, words in items:
+            n = min(SHINGLE, len(words))
+            grams[n].append(self._hashes(np.array([self.terms[w] for w in words]), n))
+        # Hashes of all shingles by length: that of items shorter than a shingle is their own.
+        self.grams = {n: np.unique(np.concatenate(members)) for n, members in grams.items()}
         blocks = -(-len(items) // POSTING_BLOCK)
         # Bounds of every term: over all items, and over each run of POSTING_BLOCK items; the last row is for words that are no term.
         self.most = np.array([p.most for p in self.postings] + [0.0], dtype=np.float32)
@@ -105,7 +114,25 @@ class Index:
 
     def passages(self, n_words: int) -> list[tuple[int, int]]:
         """Start and end of the passages of a document of that many words."""
-        return [(at, min(n_words, at + 2 * self.longest)) for at in range(0, max(1, n_words - self.longest), self.longest)]
+        whole, step = SPAN * self.longest, SPAN * self.longest // 2
+        return [(at, min(n_words, at + whole)) for at in range(0, max(1, n_words - step), step)]
+
+    @staticmethod
+    def _hashes(ids: np.ndarray, n: int) -> np.ndarray:
+        """A hash of the n term ids from each place on."""
+        size = max(0, len(ids) - n + 1)
+        out = np.zeros(size, dtype=np.uint64)
+        for k in range(n):
+            out = out * np.uint64(0x9E3779B97F4A7C15) + ids[k : k + size].astype(np.uint64) + np.uint64(1)
+        return out
+
+    def shared(self, ids: np.ndarray) -> np.ndarray:
+        """Where a shingle of an item starts; a passage without any cannot be verified for any item."""
+        out = np.zeros(len(ids), dtype=bool)
+        for n, known in self.grams.items():
+            found = self._hashes(ids, n)
+            out[: len(found)] |= known[np.minimum(np.searchsorted(known, found), len(known) - 1)] == found
+        return out
 
     def promising(self, ids: np.ndarray) -> np.ndarray:
         """Which rows of term ids (sorted; the number of terms stands for none) can reach the threshold, by the terms' bounds, then by the blocks'."""
@@ -115,8 +142,9 @@ class Index:
         fresh[:, 1:] = ids[:, 1:] != ids[:, :-1]
         found = np.flatnonzero((self.most[ids] * fresh).sum(1) >= least)
         kept = []
-        for at in range(0, len(found), 256):
-            rows = found[at : at + 256]
+        some = max(1, PASSAGE_WORDS // 16 // ids.shape[1])
+        for at in range(0, len(found), some):
+            rows = found[at : at + some]
             bound = np.einsum("rpb,rp->rb", self.by_block[ids[rows]], fresh[rows].astype(np.float32))
             kept.append(rows[bound.max(1) >= least])
         return np.concatenate(kept) if kept else found
@@ -194,14 +222,17 @@ class Benchmark:
             none = len(index.terms)
             get = index.terms.get
             ids = [np.array([get(w, none) for w in words], dtype=np.int32) for words in split]
-            spans = [(d, a, b) for d, words in enumerate(split) if words for a, b in index.passages(len(words))]
-            for at in range(0, len(spans), PASSAGES):
-                self._search(index, spans[at : at + PASSAGES], ids, split, found)
+            starts = np.cumsum([0, *map(len, ids)])
+            before = np.append(0, np.cumsum(index.shared(np.concatenate(ids)))) if ids else np.zeros(1, np.int64)
+            spans = [(d, a, b) for d, words in enumerate(split) if before[starts[d]] < before[starts[d + 1]] for a, b in index.passages(len(words)) if before[starts[d] + a] < before[starts[d] + b]]
+            some = max(1, PASSAGE_WORDS // (SPAN * index.longest))
+            for at in range(0, len(spans), some):
+                self._search(index, spans[at : at + some], ids, split, found)
         return found
 
     def _search(self, index: Index, spans: list[tuple[int, int, int]], ids: list[np.ndarray], split: list[list[str]], found: list[dict]) -> None:
         none = len(index.terms)
-        table = np.full((len(spans), 2 * index.longest), none, dtype=np.int32)
+        table = np.full((len(spans), SPAN * index.longest), none, dtype=np.int32)
         for row, (d, a, b) in enumerate(spans):
             table[row, : b - a] = ids[d][a:b]
         table.sort(axis=1)

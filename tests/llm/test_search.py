@@ -167,6 +167,22 @@ def test_exact_copies_of_short_items_are_found():
     assert not missed
 
 
+@pytest.mark.parametrize("length, more", [(28, 12), (32, 20), (30, 30), (32, 32), (62, 30), (64, 64)])
+def test_copies_with_words_put_in_are_found_at_all_positions(length, more):
+    rng = random.Random(length + more)
+    items = [(i, prose(rng, length)) for i in range(20)]
+    words = items[7][1].split()
+    texts = []
+    for at in range(2 * length):
+        drawn = words[: length // 2] + prose(rng, more).split() + words[length // 2 :]
+        texts.append(" ".join(prose(rng, at).split() + drawn + prose(rng, 200).split()))
+    whole = decontam.shingles(decontam.words_of(" ".join(drawn)))
+    own = decontam.shingles(words)
+    assert len(own & whole) >= decontam.OVERLAP * len(own)
+    found = decontam.Benchmark(items).hits(texts)
+    assert [at for at, hits in enumerate(found) if 7 not in {h.item_id for h in hits.values()}] == []
+
+
 def test_wand_scores_are_bm25():
     rng = random.Random(8)
     bench = decontam.Benchmark([(i, prose(rng, 20)) for i in range(80)])
