@@ -1,7 +1,12 @@
 """Personal data: patterns propose spans, validators confirm them, context words adjust the score.
 
 Native: DataFrame functions only. A pattern's matches come from regexp_extract_all and the text between
-them from split with the same pattern, so that running lengths give code point offsets.
+them from split with the same pattern, so that running lengths give code point offsets. The context of a match
+is read from the text between it and its neighbours, so a long text full of matches takes time in proportion to
+its length; all repeated groups are possessive or bounded, so no match needs a deep stack.
+
+A span counts if its score is LEAST or more. The contract's kinds reach that by their validators alone; a national
+phone number, which has no checksum, needs a context word.
 
 Edge cases: null and empty texts have no spans; a null doc_id is kept; repeated rows each get their own
 result; extra input columns are kept unless their name is one of the result's, which then wins.
@@ -9,23 +14,26 @@ result; extra input columns are kept unless their name is one of the result's, w
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: The kinds in the order in which spans of equal start are listed; iban is this method's own.
+#: The kinds in the order in which spans of equal start are listed; iban and national are this method's own.
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "iban")
+KINDS = (*BASE_KINDS, "iban", "national")
 
 # Each pattern finds what the contract's pattern finds. `(?:\G|(?<!...))` starts a match only where a run
 # begins or the last match ended: starts inside a run fail as its start does, and trying them all would be
 # quadratic in the run. The card pattern takes the maximal runs of 14 to 19 digits, those that pass the count.
 LOCAL = "[A-Za-z0-9._%+-]"
 PATTERNS = {
-    "email": rf"(?:\G|(?<!{LOCAL})){LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+",
+    "email": rf"(?:\G|(?<!{LOCAL})){LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?<![0-9])(?<![0-9][ -])[0-9](?:[ -]?[0-9]){13,18}(?![ -]?[0-9])",
     "phone": r"\+[0-9][ ().0-9-]+[0-9]",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
+    "national": r"(?<![0-9A-Za-z+.-])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![ .-]?[0-9]|[A-Za-z])",
 }
 #: A cheap test that a text must pass before its pattern is run.
 GATES = {
@@ -34,19 +42,22 @@ GATES = {
     "card": lambda t: F.rlike(t, F.lit(r"[0-9](?:[ -]?[0-9]){13}")),
     "phone": lambda t: F.contains(t, F.lit("+")),
     "iban": lambda t: F.rlike(t, F.lit(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11}")),
+    "national": lambda t: F.rlike(t, F.lit(r"[0-9]{3}[ .-][0-9]{4}")),
 }
-#: Words near a span that raise its score, by kind.
+#: Whole words near a span that raise its score, by kind.
 CONTEXT = {
-    "email": ("mail", "contact", "write", "address"),
-    "ip": ("ip", "host", "server", "addr"),
-    "card": ("card", "visa", "credit", "pay"),
-    "phone": ("phone", "call", "tel", "mobile"),
+    "email": ("mail", "email", "e-mail", "contact", "write", "address"),
+    "ip": ("ip", "host", "server", "addr", "address"),
+    "card": ("card", "visa", "credit", "pay", "payment"),
+    "phone": ("phone", "call", "tel", "mobile", "fax"),
     "iban": ("iban", "bank", "account", "transfer"),
+    "national": ("phone", "call", "tel", "mobile", "fax"),
 }
-#: Score of a confirmed span, what a context word adds, and how many code points around it are read.
-CONFIRMED = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.5, "iban": 0.9}
-CONTEXT_GAIN, CONTEXT_REACH = 0.1, 40
-#: Matches a chunk of the running sum holds.
+#: Score of a confirmed span, what a context word adds, how many code points on either side are read, and the score that counts.
+CONFIRMED = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.5, "iban": 0.9, "national": 0.3}
+CONTEXT_GAIN, CONTEXT_REACH, LEAST = {"national": 0.3}, 40, 0.5
+USUAL_GAIN = 0.1
+#: Matches a chunk of a running fold holds.
 CHUNK = 128
 
 SPAN = "struct<start:int,rank:int,kind:string,end:int,score:double>"
@@ -90,44 +101,62 @@ VALID = {
     "card": _luhn,
     "phone": lambda s: F.length(_digits(s)).between(10, 15),
     "iban": _mod97,
+    "national": lambda s: F.lit(True),
 }
 
 
+def _chunks(n: Column) -> Column:
+    """Numbers of the chunks that n elements make."""
+    return F.sequence(F.lit(0), F.floor((n - 1) / CHUNK).cast("int"))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _spans(text: Column, kind: str) -> Column:
-    """Array of SPAN: the kind's confirmed matches in the text, in order."""
-    found = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
-    parts = F.arrays_zip(F.split(text, PATTERNS[kind], -1).alias("gap"), found.alias("hit"))
+    """Array of SPAN: the kind's confirmed matches in the text that score LEAST or more, in order."""
     blank = F.array().cast(f"array<{SPAN}>")
-    words = "|".join(CONTEXT[kind])
+    # A word of the list with no letter or digit beside it.
+    words = rf"(?i)(?<![\p{{L}}\p{{N}}])(?:{'|'.join(CONTEXT[kind])})(?![\p{{L}}\p{{N}}])"
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + F.length(x["gap"])
         end = start + F.length(F.coalesce(x["hit"], F.lit("")))
-        left = F.greatest(start - CONTEXT_REACH, F.lit(0))
-        near = F.lower(F.concat(F.substring(text, left + 1, start - left), F.lit(" "), F.substring(text, end + 1, F.lit(CONTEXT_REACH))))
-        gain = F.when(F.rlike(near, F.lit(words)), F.lit(CONTEXT_GAIN)).otherwise(F.lit(0.0))
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), (F.lit(CONFIRMED[kind]) + gain).alias("score"))
-        valid = F.coalesce(x["hit"].isNotNull() & VALID[kind](x["hit"]), F.lit(False))
+        near = F.concat(F.right(x["gap"], F.lit(CONTEXT_REACH)), F.lit(" | "), F.left(F.coalesce(x["next"], F.lit("")), F.lit(CONTEXT_REACH)))
+        gain = F.when(F.rlike(near, F.lit(words)), F.lit(CONTEXT_GAIN.get(kind, USUAL_GAIN))).otherwise(F.lit(0.0))
+        score = F.lit(CONFIRMED[kind]) + gain
+        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), F.lit(kind).alias("kind"), end.alias("end"), score.alias("score"))
+        valid = F.coalesce(x["hit"].isNotNull() & VALID[kind](x["hit"]) & (score >= LEAST), F.lit(False))
         return F.struct(end.alias("at"), F.when(valid, F.array_append(acc["out"], span.cast(SPAN))).otherwise(acc["out"]).alias("out"))
 
-    def chunk(acc: Column, i: Column) -> Column:
-        done = F.aggregate(F.slice(parts, i * CHUNK + 1, F.lit(CHUNK)), F.struct(acc["at"].alias("at"), blank.alias("out")), step)
-        return F.struct(done["at"].alias("at"), F.array_append(acc["outs"], done["out"]).alias("outs"))
+    def folded(gaps: Column) -> Column:
+        hits = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
+        parts = F.arrays_zip(gaps.alias("gap"), hits.alias("hit"), F.slice(gaps, F.lit(2), F.size(gaps)).alias("next"))
+
+        def over(parts: Column) -> Column:
+            def chunk(acc: Column, i: Column) -> Column:
+                done = F.aggregate(F.slice(parts, i * CHUNK + 1, F.lit(CHUNK)), F.struct(acc["at"].alias("at"), blank.alias("out")), step)
+                return F.struct(done["at"].alias("at"), F.array_append(acc["outs"], done["out"]).alias("outs"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{SPAN}>>").alias("outs"))
-    whole = F.aggregate(F.sequence(F.lit(0), F.floor((F.size(parts) - 1) / CHUNK).cast("int")), zero, chunk, lambda acc: F.flatten(acc["outs"]))
-    return F.when(GATES[kind](text), whole).otherwise(blank)
+            zero = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<array<{SPAN}>>").alias("outs"))
+            return F.aggregate(_chunks(F.size(parts)), zero, chunk, lambda acc: F.flatten(acc["outs"]))
+
+        return _bound(parts, over)
+
+    return F.when(GATES[kind](text), _bound(F.split(text, PATTERNS[kind], -1), folded)).otherwise(blank)
 
 
 def _listed(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
-    """docs with pii_spans, an array of SPAN by start, then kind."""
+def find_pii(docs: DataFrame, text: str = "text", into: str = "pii_spans") -> DataFrame:
+    """docs with a column of spans, an array of SPAN by start, then kind."""
     whole = F.coalesce(F.col(text), F.lit(""))
     gated = F.when(F.rlike(whole, F.lit("[@+]|[0-9]")), F.array_sort(F.concat(*[_spans(whole, kind) for kind in KINDS])))
-    return docs.withColumn("pii_spans", F.coalesce(gated, F.array().cast(f"array<{SPAN}>")))
+    return docs.withColumn(into, F.coalesce(gated, F.array().cast(f"array<{SPAN}>")))
 
 
 def _is(kind: str):
@@ -149,24 +178,37 @@ def pii_digest(docs: DataFrame) -> DataFrame:
     )
 
 
-def mask_pii(docs: DataFrame, text: str = "text", least: float = 0.0) -> DataFrame:
+def mask_pii(docs: DataFrame, text: str = "text", least: float = LEAST) -> DataFrame:
     """docs with every span of that score or more replaced by its kind, as in <EMAIL>.
 
     Of overlapping spans the first one names the mask, and the mask covers them all. Texts without spans
-    stay as they are, null included.
+    stay as they are, null included. A chunk of spans is cut out of the text once and masked by itself.
     """
-    kept = F.filter(F.col("pii_spans"), lambda s: s["score"] >= least)
     whole = F.col(text)
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        gap = F.substring(whole, acc["at"] + 1, s["start"] - acc["at"])
-        return F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(fresh, F.concat(acc["out"], gap, F.lit("<"), F.upper(s["kind"]), F.lit(">"))).otherwise(acc["out"]).alias("out"),
-        )
-
-    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    masked = F.aggregate(kept, zero, step, lambda acc: F.concat(acc["out"], F.substring(whole, acc["at"] + 1, F.length(whole))))
-    found = find_pii(docs, text)
-    return found.withColumn(text, F.when(F.size(kept) > 0, masked).otherwise(whole)).drop("pii_spans")
+    def masked(kept: Column) -> Column:
+        def chunk(acc: Column, i: Column) -> Column:
+            spans = F.slice(kept, i * CHUNK + 1, F.lit(CHUNK))
+            first = acc["at"]
+            end = F.greatest(first, F.array_max(F.transform(spans, lambda s: s["end"])))
+
+            def cut(piece: Column) -> Column:
+                def step(inner: Column, s: Column) -> Column:
+                    gap = F.substring(piece, inner["at"] - first + 1, s["start"] - inner["at"])
+                    named = F.concat(inner["out"], gap, F.lit("<"), F.upper(s["kind"]), F.lit(">"))
+                    return F.struct(F.greatest(inner["at"], s["end"]).alias("at"), F.when(s["start"] >= inner["at"], named).otherwise(inner["out"]).alias("out"))
+
+                done = F.aggregate(spans, F.struct(first.alias("at"), F.lit("").alias("out")), step)
+                return F.struct(done["at"].alias("at"), F.array_append(acc["outs"], done["out"]).alias("outs"))
+
+            return _bound(F.substring(whole, first + 1, end - first), cut)
+
+        zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("outs"))
+        return F.aggregate(_chunks(F.size(kept)), zero, chunk, lambda acc: F.concat(F.array_join(acc["outs"], ""), F.substring(whole, acc["at"] + 1, F.length(whole))))
+
+    into = "pii_spans"
+    while into in docs.columns:
+        into += "_"
+    kept = F.filter(F.col(into), lambda s: s["score"] >= least)
+    found = find_pii(docs, text, into)
+    return found.withColumn(text, F.when(F.size(kept) > 0, _bound(kept, masked)).otherwise(whole)).drop(into)

@@ -83,6 +83,30 @@ def test_iban_needs_mod_97(spark):
     assert row.n_iban == 2 and row.top_score > 0.9
 
 
+def test_thousands_of_labels_and_hits_need_no_stack_and_little_time(spark):
+    labels, many = "mail a@b" + ".x" * 100_000 + " end", "é a.b@c.de, " * 60_000
+    dotted = "1." * 100_000 + "+1" + " (2)" * 50_000 + " 4111" * 40_000
+    docs = spark.createDataFrame([(1, labels), (2, many), (3, dotted)], "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.pii_digest(docs).collect()}
+    assert got[1].spans == f"email:5:{8 + 200_000}" and got[2].n_email == 60_000
+    text = {r.doc_id: r.text for r in pii.mask_pii(docs).collect()}
+    assert text[1] == "mail <EMAIL> end" and text[2] == "é <EMAIL>, " * 60_000
+
+
+def test_context_is_whole_words_and_decides(spark):
+    rows = [(1, "my ship 10.0.0.1"), (2, "host 10.0.0.1"), (3, "hotel 202-555-0143"), (4, "call (202) 555-0143 now"), (5, "IP: 10.0.0.1")]
+    got = {r.doc_id: (r.spans, r.top_score) for r in pii.pii_digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1] == ("ip:8:16", 0.6) and got[2][1] == pytest.approx(0.7) and got[5][1] == pytest.approx(0.7)
+    assert got[3] == ("", 0.0) and got[4] == ("national:5:19", 0.6)
+
+
+def test_clashing_columns_are_replaced(spark):
+    docs = spark.createDataFrame([(1, "a@b.co", "own", 3)], "doc_id long, text string, pii_spans string, spans int")
+    assert pii.find_pii(docs).columns == docs.columns and len(pii.find_pii(docs).collect()[0].pii_spans) == 1
+    masked = pii.mask_pii(docs).collect()[0]
+    assert (masked.text, masked.pii_spans) == ("<EMAIL>", "own") and pii.pii_digest(docs).collect()[0].spans == "email:0:6"
+
+
 def test_mask_covers_spans_once(spark):
     docs = spark.createDataFrame([(1, "mail a@b.co, call +49 30 1234567890 \U0001f600 c@d.ef!"), (2, "clean"), (3, None)], "doc_id long, text string")
     got = {r.doc_id: r.text for r in pii.mask_pii(docs).collect()}
