@@ -2,13 +2,15 @@
 
 For each language a suffix automaton of labelled text is built. A text is cut, greedily, into the longest
 phrases that occur in a language's labelled text; the language that needs the fewest phrases, normalised by
-the length of its labelled text (phrases * log2(length + alphabet) / characters, the cross-parsing entropy), wins.
-A phrase is one of so many places or characters, so little labelled text does not make phrases cheap; a character
+the length of its labelled text (phrases * log2(length + alphabet) / symbols, the cross-parsing entropy), wins.
+A phrase is one of so many places or symbols, so little labelled text does not make phrases cheap; a symbol
 that a language lacks costs every language what it costs the one with the longest text.
 
-Long texts are parsed whole, in segments of SEGMENT characters: a cut costs each language the same phrase.
+Texts are lower-cased, runs of anything but letters become one space, and the symbols are the bytes of what is
+left in UTF-8: every script has its own phrases, and the automata's tables stay narrow whatever letters there are.
+Long texts are parsed whole, in segments of SEGMENT bytes: a cut costs each language the same phrase.
 
-Edge cases: labelled rows without a letter teach nothing, so a language of such rows alone is none; null text or
+Edge cases: at most LANGUAGES labels are learned, the commonest; labelled rows without a letter teach nothing, so a language of such rows alone is none; null text or
 text without a letter is `und` with score 0; ties go to the first language by name;
 with no labelled text everything is `und`; repeated rows each get their own result; extra columns are ignored.
 """
@@ -32,10 +34,11 @@ UNKNOWN = "und"
 FOLDS = 5
 #: Bounds of the labelled sample: documents a language, characters of each, characters in all languages together.
 TRAIN_DOCS, TRAIN_DOC_CHARS, TRAIN_CHARS = 96, 2_000, 160_000
+#: Most labels that are learned, the commonest, and the characters that each may have at the least.
+LANGUAGES, LEAST_CHARS = 200, 2_000
 SEGMENT, STREAMS = 2_048, 4_096
-#: Code points below this have their class in a table.
+#: Code points below this have their class in a table; those above are asked one distinct one at a time.
 TABLE = 0x3000
-SPACE = 1
 
 
 @cache
@@ -44,7 +47,7 @@ def _letters() -> np.ndarray:
 
 
 def code_points(text: str) -> np.ndarray:
-    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
 
 
 def is_letter(points: np.ndarray) -> np.ndarray:
@@ -106,12 +109,11 @@ class Parser:
 
     def __init__(self, languages: Languages):
         self.names = languages.names
-        alphabet = sorted({c for _, text in languages.texts for c in np.unique(self.normal(text)[0]).tolist()} | {ord(" ")})
+        alphabet = np.unique(np.concatenate([self.normal(text)[0] for _, text in languages.texts] + [np.array([ord(" ")], np.uint8)]))
         self.width = len(alphabet) + 1
-        self.code = np.zeros(TABLE, dtype=np.int32)
-        for i, c in enumerate(alphabet):
-            if c < TABLE:
-                self.code[c] = i + 1
+        # 0 stands for the bytes that no language has.
+        self.code = np.zeros(256, dtype=np.int32)
+        self.code[alphabet] = np.arange(1, self.width)
         tables, self.starts, self.bits, rows = [], [], [], 0
         self.lacks = np.ones((len(self.names), self.width), dtype=np.int64)
         for i, (_, text) in enumerate(languages.texts):
@@ -131,15 +133,19 @@ class Parser:
 
     @staticmethod
     def normal(text: str) -> tuple[np.ndarray, bool]:
-        """Lower-case code points with runs of anything but letters as one space; whether there is a letter."""
+        """UTF-8 bytes of the lower-case text with runs of anything but letters as one space; whether there is a letter."""
         points = code_points(text)
         letter = is_letter(points)
         kept = letter.copy()
         kept[1:] |= letter[:-1]
-        return np.where(letter, points, ord(" "))[kept], bool(letter.any())
+        cleaned = np.where(letter, points, np.uint32(ord(" ")))[kept]
+        if not len(cleaned) or cleaned.max() < 0x80:
+            return cleaned.astype(np.uint8), bool(letter.any())
+        spelled = cleaned.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass").encode("utf-8", "surrogatepass")
+        return np.frombuffer(spelled, np.uint8), bool(letter.any())
 
-    def codes(self, points: np.ndarray) -> np.ndarray:
-        return np.where(points < TABLE, self.code[np.minimum(points, TABLE - 1)], 0)
+    def codes(self, symbols: np.ndarray) -> np.ndarray:
+        return self.code[symbols]
 
     def phrases(self, segments: list[np.ndarray]) -> np.ndarray:
         """Phrases of each segment, segments x languages."""
@@ -161,7 +167,7 @@ class Parser:
         return out
 
     def predict(self, texts: list[str]) -> tuple[list[str], list[float], list[float | None]]:
-        """Language, score and cross-parsing entropy in bits a character of each text."""
+        """Language, score and cross-parsing entropy in bits a byte of each text."""
         names, scores, bits = [UNKNOWN] * len(texts), [0.0] * len(texts), [None] * len(texts)
         if not self.names:
             return names, scores, bits
@@ -188,7 +194,7 @@ class Parser:
                 flush()
         flush()
         bits_each = np.array(self.bits)
-        # Each character that a language lacks is a phrase of its own.
+        # Each byte that a language lacks is a phrase of its own.
         entropy = (total * bits_each + lacking * (bits_each.max() - bits_each)) / np.maximum(size, 1)[:, None]
         for i in np.flatnonzero(size):
             best = int(np.argmin(entropy[i]))
@@ -202,17 +208,17 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Langua
     """Languages from a bounded sample: per language the TRAIN_DOCS rows of smallest hash.
 
     A first pass counts rows per language, so that the second one only ranks about four times the wanted
-    number of rows for each language, however many there are.
+    number of rows for each of the LANGUAGES commonest labels, however many there are.
     """
     rows = labelled.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.xxhash64("doc_id", text).alias("h")).where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
-    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     if not counts:
         return Languages(())
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 4 * TRAIN_DOCS / n))])
     gated = rows.where(F.pmod("h", F.lit(1 << 30)) < F.element_at(share, F.col("lang")) * (1 << 30))
     ranked = gated.withColumn("nth", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).where(F.col("nth") <= TRAIN_DOCS)
     found = ranked.select("lang", "nth", F.substring("text", 1, TRAIN_DOC_CHARS).alias("text")).orderBy("lang", "nth").collect()
-    each = max(2_000, TRAIN_CHARS // len(counts))
+    each = max(LEAST_CHARS, TRAIN_CHARS // len(counts))
     joined: dict[str, str] = {}
     for r in found:
         if len(joined.get(r["lang"], "")) < each:
@@ -221,7 +227,7 @@ def train(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Langua
 
 
 def identify(docs: DataFrame, languages: Languages, text: str = "text") -> DataFrame:
-    """docs with lang_pred, score and lang_bits (cross-parsing entropy in bits a character, null for `und`)."""
+    """docs with lang_pred, score and lang_bits (cross-parsing entropy in bits a byte, null for `und`)."""
     sent = small_batches(docs).sparkSession.sparkContext.broadcast(languages)
     key = uuid.uuid4().hex
     old = [f for f in docs.schema.fields if f.name not in ("lang_pred", "score", "lang_bits")]

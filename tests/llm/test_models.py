@@ -1,6 +1,7 @@
 """Operators 1 and 3: held-out accuracy, and plain versions of the parse and of the byte model."""
 
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -33,6 +34,55 @@ def test_automaton_parses_as_substring_search(labelled, text):
     assert parser.phrases([codes])[0, 0] == phrases(normal, labelled)
 
 
+SCRIPTS = {
+    "zh": ("今天天气很好，我们去公园散步。孩子们在草地上玩耍，老人们坐在长椅上聊天。", "晚上我们一起回家做饭，孩子们坐在桌子旁边等着吃饭。"),
+    "ja": ("今日は天気がとても良いので、公園を散歩しました。子供たちは芝生の上で遊んでいました。", "夜は一緒に家に帰って、子供たちはテーブルのそばで待っていました。"),
+    "ko": ("오늘은 날씨가 아주 좋아서 공원을 산책했습니다. 아이들은 잔디밭에서 놀고 있었습니다.", "저녁에는 함께 집에 돌아와서 아이들은 식탁 옆에서 기다리고 있었습니다."),
+    "ru": ("Сегодня очень хорошая погода, и мы гуляли в парке. Дети играли на траве.", "Вечером мы вместе вернулись домой, и дети ждали за столом."),
+    "uk": ("Сьогодні дуже гарна погода, і ми гуляли в парку. Діти гралися на траві.", "Увечері ми разом повернулися додому, і діти чекали за столом."),
+    "en": ("The weather is very good today and we went for a walk in the park.", "In the evening we went home together, and the children waited at the table."),
+}
+
+
+def plain_prediction(languages, text):
+    """The contract of the parser in plain Python: normalise, cut into longest phrases, weigh, take the least."""
+    def normal(t):
+        return re.sub(" +", " ", "".join(c if c.isalpha() else " " for c in t.lower())).lstrip(" ").encode()
+
+    texts = {k: normal(v) for k, v in languages}
+    width = len({b for t in texts.values() for b in t} | {32}) + 1
+    own = normal(text)
+    if not any(c.isalpha() for c in text.lower()):
+        return "und"
+    each = {k: math.log2(len(t) + width) for k, t in texts.items()}
+    cost = {}
+    for k, t in texts.items():
+        n = sum(phrases(own[at : at + langid.SEGMENT], t) for at in range(0, len(own), langid.SEGMENT))
+        cost[k] = n * each[k] + sum(b not in t for b in own) * (max(each.values()) - each[k])
+    return min(sorted(cost), key=cost.get)
+
+
+def test_scripts_are_told_apart():
+    languages = langid.Languages(tuple((k, a * 3) for k, (a, _) in sorted(SCRIPTS.items())))
+    names, scores, _ = langid.Parser(languages).predict([b for _, b in SCRIPTS.values()])
+    assert names == list(SCRIPTS) and all(0 < s <= 1 for s in scores)
+
+
+def test_predictions_are_the_plain_parsers(all_docs):
+    learned = langid.train(all_docs)
+    languages = [(k, v[:1500]) for k, v in learned.texts] + [(k, a) for k, (a, _) in SCRIPTS.items() if k not in dict(learned.texts)]
+    texts = [r.text or "" for r in all_docs.orderBy("doc_id").limit(40).collect()] + [b for _, b in SCRIPTS.values()] + ["", "12", "𝔘𝔫𝔦 😀 ñandú"]
+    texts = [t[:4000] for t in texts]
+    got = langid.Parser(langid.Languages(tuple(languages))).predict(texts)[0]
+    assert got == [plain_prediction(languages, t) for t in texts]
+
+
+def test_labels_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(langid, "LANGUAGES", 2)
+    rows = [(i, f"some words of label {chr(97 + i % 3)}", "abc"[i % 3]) for i in range(8)]
+    assert langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string")).names == ["a", "b"]
+
+
 def test_held_out_accuracy(all_docs):
     rows = langid.held_out_prediction(all_docs).collect()
     truth = {r.doc_id: r.lang for r in all_docs.collect()}
