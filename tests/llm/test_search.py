@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from driftfold.llm import ann, components, decontam, jaccard, sharding
@@ -277,9 +278,43 @@ def test_ties_go_to_the_smaller_id(spark, monkeypatch):
     assert [r.vec_id for r in found] == list(range(1, 11))
 
 
-def test_query_blocks_cover_all_queries(spark, sf, monkeypatch):
+def test_results_do_not_depend_on_blocks_or_batches(spark, sf, monkeypatch):
     table = spark.read.parquet(f"{sf}/embeddings.parquet")
     whole = sorted(tuple(r) for r in ann.nearest_neighbours(table).collect())
-    monkeypatch.setattr(ann, "QUERY_BLOCK", 2)
-    monkeypatch.setattr(ann, "VECTOR_BLOCK", 100)
-    assert [r[:3] for r in sorted(tuple(r) for r in ann.nearest_neighbours(table).collect())] == [r[:3] for r in whole]
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    for limits in ({"QUERY_BLOCK": 2, "VECTOR_BLOCK": 64}, {"PART": 17, "QUERIES": 1}):
+        with monkeypatch.context() as patch:
+            for key, value in limits.items():
+                patch.setattr(ann, key, value)
+            spark.conf.set(name, 7)
+            assert sorted(tuple(r) for r in ann.nearest_neighbours(table).collect()) == whole
+    spark.conf.set(name, old)
+
+
+def test_recall_where_a_small_share_is_reranked():
+    """50,000 vectors in clusters and noise, 256 reranked: about half a percent."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(50_000, 64))
+    x[:25_000] += 2 * rng.normal(size=(100, 64))[rng.integers(0, 100, 25_000)]
+    x /= np.sqrt((x**2).sum(1, keepdims=True))
+    books = ann.Books.fit(x[rng.choice(len(x), ann.SAMPLE, replace=False)])
+    codes, norms = zip(*(books.encode(x[at : at + 1000]) for at in range(0, len(x), 1000)), strict=True)
+    ids = np.arange(len(x))
+    asked = ids[::500]
+    block = ann.Block(books)
+    block.ask(asked, x[asked])
+    for at, c, n in zip(range(0, len(x), 1000), codes, norms, strict=True):
+        block.offer(ids[at : at + 1000], ids[at : at + 1000], n.astype(np.float32), c)
+    found = pa.Table.from_batches(block.found()).to_pandas().groupby("query_id")["row"].agg(set)
+    d = (x**2).sum(1) - 2 * x[asked] @ x.T
+    d[np.arange(len(asked)), asked] = np.inf
+    assert all(len(s) == ann.RERANK for s in found)
+    assert np.mean([len(found[q] & set(np.argsort(row)[:10].tolist())) / 10 for q, row in zip(asked, d, strict=True)]) >= 0.95
+
+
+def test_lengths_repeats_and_clashing_columns(spark):
+    rows = [(0, [1.0, 0.0], 1), (0, [1.0, 0.0], 2), (1, [0.0, 1.0], 3), (1, [0.0, 1.0], 4), (2, [2.0, 0.0], 5), (3, [1.0, 0.0, 0.0], 6), (4, [], 7)]
+    found = ann.nearest_neighbours(spark.createDataFrame(rows, "vec_id int, embedding array<double>, row int")).orderBy("rank").collect()
+    assert [(r.query_id, r.vec_id, round(r.score, 6)) for r in found] == [(0, 2, 1.0), (0, 1, 1.414214), (0, 1, 1.414214)]
+    assert found[0].asDict().keys() == {"query_id", "rank", "vec_id", "score"}
