@@ -6,7 +6,8 @@ as many as a class's length in all, at the least. A copy drawn out further may b
 passage that has a shingle of any item queries the index for all items above their threshold. An item's threshold is the least BM25 score that a passage with OVERLAP of
 its five-word shingles can have: its full score less the weights of as many terms as the missing shingles
 can uncover, the heaviest ones. So retrieval loses nothing that verification would accept. Scores are divided
-by the threshold, which is then 1 for all items.
+by the threshold, which is then 1 for all items. Document frequencies, the number of items and their mean length
+are those of the whole benchmark, whatever blocks its items are sent in.
 
 A hit is verified on the words themselves: OVERLAP of the shingles of the item and enough of those of its
 question (the first three quarters of its words), and of the words of its answer (the rest).
@@ -29,8 +30,9 @@ from operator import itemgetter
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from driftfold.llm.common import column, once, slices, small_batches, texts_of
+from driftfold.llm.common import column, materialize, once, slices, small_batches, texts_of
 
 WORDS = re.compile(r"\w+")
 SHINGLE = 5
@@ -75,10 +77,23 @@ class Posting:
             self.block_most.append(max(self.weights[at : at + POSTING_BLOCK]))
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """Of the whole benchmark: items with words, their mean length, and how many of them hold a word."""
+
+    n_items: int
+    mean: float
+    frequency: dict[str, int]
+
+    @staticmethod
+    def of(items: list[list[str]]) -> Statistics:
+        return Statistics(len(items), sum(map(len, items)) / max(1, len(items)), Counter(t for words in items for t in set(words)))
+
+
 class Index:
     """The items of one length class."""
 
-    def __init__(self, items: list[tuple[int, list[str]]], longest: int, frequency: Counter, n_items: int, mean: float):
+    def __init__(self, items: list[tuple[int, list[str]]], longest: int, whole: Statistics):
         self.items, self.longest = items, longest
         self.terms: dict[str, int] = {}
         self.postings: list[Posting] = []
@@ -86,8 +101,8 @@ class Index:
             counts = Counter(words)
             weights = {}
             for term, tf in counts.items():
-                idf = np.log(1 + (n_items - frequency[term] + 0.5) / (frequency[term] + 0.5))
-                weights[term] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / mean))
+                idf = np.log(1 + (whole.n_items - whole.frequency[term] + 0.5) / (whole.frequency[term] + 0.5))
+                weights[term] = idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(words) / whole.mean))
             m = len(shingles(words))
             uncovered = m - int(np.ceil(OVERLAP * m))
             threshold = sum(sorted(weights.values())[: max(1, len(weights) - uncovered)])
@@ -202,17 +217,17 @@ class Hit:
 class Benchmark:
     """All classes of a set of items, and the documents' search through them."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], whole: Statistics | None = None):
+        """whole: the statistics of the benchmark that the items are a part of; by default these items are all of it."""
         split = [(i, words) for i, text in items if text and (words := words_of(text))]
-        frequency = Counter(t for _, words in split for t in set(words))
-        mean = sum(len(w) for _, w in split) / max(1, len(split))
+        whole = whole or Statistics.of([words for _, words in split])
         classes = defaultdict(list)
         for i, words in split:
             longest = SHORTEST
             while longest < len(words):
                 longest *= 2
             classes[longest].append((i, words))
-        self.indexes = [Index(members, longest, frequency, len(split), mean) for longest, members in sorted(classes.items())]
+        self.indexes = [Index(members, longest, whole) for longest, members in sorted(classes.items())]
 
     def hits(self, texts: list[str]) -> list[dict[int, Hit]]:
         """Per text the best verified hit of each item, by the item's position in the benchmark's class."""
@@ -268,17 +283,37 @@ class Benchmark:
         return Hit(item_id, score, overlap, question, answered) if overlap >= OVERLAP and question >= QUESTION and answered >= ANSWER else None
 
 
-def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The items, read a partition at a time, in blocks that bound the index sent to workers."""
+def item_words(benchmark: DataFrame) -> DataFrame:
+    """(n, words): number of words and distinct words of every item that has any."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [x for x in map(words_of, texts_of(batch)) if x]
+            yield pa.RecordBatch.from_arrays([pa.array([len(x) for x in found], pa.int64()), pa.array([sorted(set(x)) for x in found], pa.list_(pa.string()))], names=["n", "words"])
+
+    return benchmark.select("text").where("text is not null").mapInArrow(split, "n long, words array<string>")
+
+
+def item_blocks(benchmark: DataFrame) -> Iterator[tuple[list[tuple[int, str]], Statistics]]:
+    """The items, read a partition at a time, in blocks that bound the index sent to workers, with the whole benchmark's statistics of their words."""
+    split = materialize(item_words(benchmark), "items")
+    n_items, mean = split.agg(F.count("*"), F.coalesce(F.avg("n"), F.lit(0.0))).collect()[0]
+    frequency = materialize(split.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n")), "frequency")
+
+    def with_statistics(block: list[tuple[int, str]]) -> tuple[list[tuple[int, str]], Statistics]:
+        own = pa.table({"word": pa.array(sorted({w for _, text in block for w in words_of(text)}), pa.string())})
+        found = frequency.join(benchmark.sparkSession.createDataFrame(own), "word").select("word", "n").toArrow() if own.num_rows else None
+        return block, Statistics(n_items, mean, dict(zip(*(found.column(c).to_pylist() for c in ("word", "n")), strict=True)) if found else {})
+
     block, size = [], 0
     for row in benchmark.select("item_id", "text").where("text is not null").toLocalIterator():
         if block and (len(block) >= ITEM_BLOCK or size + len(row["text"]) > ITEM_CHARS):
-            yield block
+            yield with_statistics(block)
             block, size = [], 0
         block.append((row["item_id"], row["text"]))
         size += len(row["text"])
     if block:
-        yield block
+        yield with_statistics(block)
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -291,7 +326,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         sent, key = spark.sparkContext.broadcast(block), uuid.uuid4().hex
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent, key=key) -> Iterator[pa.RecordBatch]:
-            items = once(key, lambda: Benchmark(sent.value))
+            items = once(key, lambda: Benchmark(*sent.value))
             for batch in slices(batches):
                 ids = column(batch, "doc_id").to_pylist()
                 rows = [(ids[d], h.item_id, h.score, h.overlap, h.question, h.answer) for d, hits in enumerate(items.hits(texts_of(batch))) for h in hits.values()]
@@ -310,7 +345,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         sent, key = docs.sparkSession.sparkContext.broadcast(block), uuid.uuid4().hex
 
         def keep(batches: Iterator[pa.RecordBatch], sent=sent, key=key) -> Iterator[pa.RecordBatch]:
-            items = once(key, lambda: Benchmark(sent.value))
+            items = once(key, lambda: Benchmark(*sent.value))
             for batch in slices(batches):
                 yield batch.filter(pa.array([not hits for hits in items.hits(texts_of(batch))], pa.bool_()))
 
