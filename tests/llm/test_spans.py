@@ -1,7 +1,9 @@
 """Operators 8 and 10 against plain Python over whole texts, with the awkward cases planted."""
 
 import hashlib
+import random
 import re
+import string
 
 import pytest
 
@@ -132,6 +134,28 @@ def test_markov_models_separate_random_from_words(spark, sf):
     assert spans == ["markov:4:28"]
 
 
+def test_models_on_held_out_samples(spark, sf, monkeypatch):
+    """Keys of unseen seeds, of all lengths, without digits too; identifiers of words that were in no sample."""
+    models = secrets.trained_models(spark.read.parquet(f"{sf}/documents.parquet"))
+    keys = secrets.random_samples(3_000, seed=99)
+    assert sum(models.score(k) > secrets.MARGIN for k in keys) >= 0.99 * len(keys)
+    rng = random.Random(3)
+    bare = ["".join(rng.choices(string.ascii_letters, k=rng.randint(16, 40))) for _ in range(1_000)]
+    assert sum(models.score(k) > secrets.MARGIN for k in bare) >= 0.95 * len(bare)
+    words = "quick brown jumps over lazy dog manager release server backup database profile upload handler timeout retry policy builder customer invoice payment gateway weather sensor window garden kitchen".split()
+    assert len(set(words) - set(secrets.NAME_WORDS)) == len(words)
+    monkeypatch.setattr(secrets, "NAME_WORDS", words)
+    names = [x for x in secrets.composed(words, 4_000, seed=5) if len(x) >= 16]
+    assert sum(models.score(x) > secrets.MARGIN for x in names) <= 0.01 * len(names)
+    assert all(models.score(x) < 0 for x in ("2021-03-14-release-notes", "0123456789-0123456789-01", "-" * 40, "1234567890123456789"))
+
+
+def test_sampled_words_hold_no_matched_secrets(spark):
+    docs = spark.createDataFrame([(1, "plain words token=Zx81Qm0aTj4Lk29 and deadbeefdeadbeefdeadbeef then Qx7Lm2Vb9KpR4sT8uWzY end")], "doc_id long, text string")
+    words = secrets.identifier_samples(docs)[: -secrets.SAMPLE_NAMES]
+    assert words == ["plain", "words", "and", "then", "end"]
+
+
 def test_empty_table(docs):
     none = docs.limit(0)
     assert pii.pii_digest(none).count() == 0
