@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -27,11 +28,13 @@ def fold_of(doc_id: str, parts: int) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where all run in one process."""
     set_by_cluster = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if set_by_cluster:
         return set_by_cluster.rstrip("/")
     if not (own := spark.sparkContext.getCheckpointDir()):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="driftfold-"))
         own = spark.sparkContext.getCheckpointDir()
     return own.rstrip("/")

@@ -1,43 +1,58 @@
-"""Sharding by fixed virtual slots and a versioned slot-to-shard map.
+"""Sharding by fixed virtual slots and a versioned slot-to-shard map, which is stored and edited.
 
-A record's virtual slot is a hash of its doc_id, so it never changes. A map of a given shard count is made
-by edits: starting from one shard, version n moves slots from the fullest shards to shard n - 1 until that
-holds its share. An edit only ever moves slots into the new shard, and a version depends on nothing but the
-number of slots and shards: the law is `key`.
+A record's virtual slot is a hash of its doc_id, so it never changes. A map says which shard has which slot. Its
+versions are tables in a store; a version is written once, and an edit makes the next one from it:
+
+* growing by a shard moves slots from the fullest shards to the new one until that holds its share. Such an edit
+  only ever moves slots into the new shard, and depends on nothing but the numbers of slots and shards: maps that
+  were only ever grown keep the law `key`;
+* rebalancing moves slots from heavy to light shards by the bytes measured in each slot: from then on the law is
+  `bytes`.
+
+The query writes the grown map of its shard count with the measured bytes of each slot, grows it by a shard, and
+reads both versions back.
 
 Edge cases: a null doc_id hashes as the empty string; null text has no bytes; repeated rows share a shard
-and get different positions; an empty table gives an empty result.
+and get different positions; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import atexit
+import uuid
+from dataclasses import dataclass
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from driftfold.llm.common import sized
+from driftfold.llm.common import _remove, materialize, shared_dir, sized
 
 SLOTS = 8192
 SHARDS = 40
 ROW_BYTES = 16
 
 
+def grown(shard_of: list[int]) -> list[int]:
+    """The map with one more shard, made of slots of the fullest ones."""
+    n = max(shard_of) + 2
+    owned: list[list[int]] = [[] for _ in range(n - 1)]
+    for slot, shard in enumerate(shard_of):
+        owned[shard].append(slot)
+    after = list(shard_of)
+    for _ in range(len(shard_of) // n):
+        fullest = max(range(n - 1), key=lambda s: (len(owned[s]), -s))
+        after[owned[fullest].pop()] = n - 1
+    return after
+
+
 @cache
 def slot_map(shards: int, slots: int = SLOTS) -> tuple[int, ...]:
-    """Version `shards` of the map: the shard of every virtual slot."""
-    owned = [list(range(slots))]
-    for n in range(2, shards + 1):
-        taken = []
-        while len(taken) < slots // n:
-            fullest = max(range(len(owned)), key=lambda s: (len(owned[s]), -s))
-            taken.append(owned[fullest].pop())
-        owned.append(sorted(taken))
+    """The shard of every virtual slot after growing from one shard to that many."""
     shard_of = [0] * slots
-    for shard, held in enumerate(owned):
-        for slot in held:
-            shard_of[slot] = shard
+    for _ in range(1, shards):
+        shard_of = grown(shard_of)
     return tuple(shard_of)
 
 
@@ -78,33 +93,86 @@ def record_sizes(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
     return docs.select("doc_id", (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), virtual_slot(F.col("doc_id"), slots).alias("vslot"))
 
 
-def map_table(spark: SparkSession, shards: int, slots: int = SLOTS) -> DataFrame:
-    """The stored form of a map: version, vslot, shard and the shard that one more shard would make of it."""
-    rows = [(shards, v, s, g) for v, (s, g) in enumerate(zip(slot_map(shards, slots), slot_map(shards + 1, slots), strict=True))]
-    return spark.createDataFrame(rows, "version int, vslot int, shard int, grown_shard int")
+@dataclass(frozen=True)
+class SlotMaps:
+    """The versions of a map, each in a folder of its own below `path`: (version, law, vslot, shard, bytes)."""
 
+    spark: SparkSession
+    path: str
 
-def slot_bytes(sizes: DataFrame) -> DataFrame:
-    """Rows and bytes per virtual slot, at most SLOTS rows whatever the input."""
-    return sizes.groupBy("vslot").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+    def write(self, version: int, law: str, shard_of: list[int], load: dict[int, int] | None = None) -> None:
+        """Store a version; one that is there already is never replaced. load: bytes measured in each slot."""
+        rows = [(version, law, slot, shard, (load or {}).get(slot, 0)) for slot, shard in enumerate(shard_of)]
+        self.spark.createDataFrame(rows, "version int, law string, vslot int, shard int, bytes long").coalesce(1).write.mode("errorifexists").parquet(f"{self.path}/version-{version}")
 
+    def read(self, version: int) -> DataFrame:
+        return self.spark.read.schema("version int, law string, vslot int, shard int, bytes long").parquet(f"{self.path}/version-{version}")
+
+    def _held(self, version: int) -> tuple[str, list[int]]:
+        rows = sorted((r.vslot, r.shard, r.law) for r in self.read(version).collect())
+        return rows[0][2], [shard for _, shard, _ in rows]
+
+    def grow(self, version: int, load: dict[int, int] | None = None) -> int:
+        """Write the next version, with one more shard; its number."""
+        law, shard_of = self._held(version)
+        self.write(version + 1, law, grown(shard_of), load)
+        return version + 1
+
+    def rebalance(self, version: int, load: dict[int, int], tolerance: float = 0.02) -> int:
+        """Write the next version, its shards evened by the bytes of their slots; its number."""
+        _, shard_of = self._held(version)
+        self.write(version + 1, "bytes", rebalanced(shard_of, [load.get(slot, 0) for slot in range(len(shard_of))], tolerance), load)
+        return version + 1
+
+
+def own_maps(spark: SparkSession) -> SlotMaps:
+    """A store in the shared folder that goes when the session ends."""
+    path = f"{shared_dir(spark)}/driftfold/maps-{uuid.uuid4().hex}"
+    atexit.register(_remove, spark, path)
+    return SlotMaps(spark, path)
 
-def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
-    """Every record's shard and its position there, numbered without gaps.
 
-    Rows are numbered inside their virtual slot, one of thousands, and a slot's first number is the count of
-    rows in the slots before it in its shard; so no task ever sorts a whole shard.
+def ordered_records(docs: DataFrame, slots: int = SLOTS) -> DataFrame:
+    """(doc_id, size, text_crc32, vslot, copies, piece): equal records once, written in range partitions by slot, then id; piece numbers these.
+
+    A slot with very many records, as that of a null doc_id may be, spans several pieces.
+    """
+    same = record_sizes(docs, slots).groupBy("vslot", "doc_id", "text_crc32", "size").agg(F.count("*").alias("copies"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(same.repartitionByRange(parts, "vslot", "doc_id", "text_crc32", "size").withColumn("piece", F.spark_partition_id()), "records")
+
+
+def slot_bytes(records: DataFrame) -> dict[int, int]:
+    """Bytes in each virtual slot, at most as many rows as there are slots whatever the input."""
+    return {r["vslot"]: r["bytes"] for r in records.groupBy("vslot").agg(F.sum(F.col("size") * F.col("copies")).alias("bytes")).collect()}
+
+
+def place(records: DataFrame, maps: SlotMaps, version: int, bigger: int | None = None, slots: int = SLOTS) -> DataFrame:
+    """Every record's shard by that version, its position there, and its shard by the version with one more.
+
+    Rows are numbered inside the pieces of their slot, and a piece's first number is the count of rows in the
+    pieces before it in its shard; so no task ever sorts a whole shard, nor a slot that holds a large part of all rows.
     """
-    spark = docs.sparkSession
-    sizes = record_sizes(docs, slots)
-    mapped = slot_bytes(sizes).join(sized(map_table(spark, shards, slots), "slot map", slots, 16), "vslot")
-    before = Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, -1)
-    starts = mapped.select("vslot", "version", "shard", "grown_shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
-    inside = Window.partitionBy("vslot").orderBy("doc_id", "text_crc32", "size")
-    numbered = sizes.withColumn("nth", F.row_number().over(inside) - 1)
-    return numbered.join(sized(starts, "slot starts", slots, 32), "vslot").select(
-        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("first") + F.col("nth")).cast("long").alias("slot"), "grown_shard", "vslot", F.col("version").alias("map_version")
-    )
+    parts = int(records.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mapped = maps.read(version).select("vslot", "version", "law", "shard")
+    more = maps.read(bigger).select("vslot", F.col("shard").alias("grown_shard")) if bigger else mapped.select("vslot", F.lit(None).cast("int").alias("grown_shard"))
+    pieces = records.groupBy("vslot", "piece").agg(F.sum("copies").alias("n"))
+    before = Window.partitionBy("shard").orderBy("vslot", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = pieces.join(sized(mapped.join(sized(more, "grown map", slots, 8), "vslot"), "slot map", slots, 32), "vslot").select("vslot", "piece", "version", "law", "shard", "grown_shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    inside = Window.partitionBy("vslot", "piece").orderBy("doc_id", "text_crc32", "size").rowsBetween(Window.unboundedPreceding, -1)
+    numbered = records.withColumn("nth", F.coalesce(F.sum("copies").over(inside), F.lit(0)))
+    # A slot is in one piece, or in as many as it fills: slots and partitions bound their number.
+    placed = numbered.join(sized(starts, "slot starts", slots + parts, 48), ["vslot", "piece"])
+    copy = F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1))
+    return placed.select("*", copy.alias("copy")).select("doc_id", "size", "text_crc32", "law", "shard", (F.col("first") + F.col("nth") + F.col("copy")).cast("long").alias("slot"), "grown_shard", "vslot", F.col("version").alias("map_version"))
+
+
+def shard_documents(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
+    """Every record's shard and its position there by a map grown to that many shards, and its shard in one of one more."""
+    records = ordered_records(docs, slots)
+    load, maps = slot_bytes(records), own_maps(docs.sparkSession)
+    maps.write(shards, "key", list(slot_map(shards, slots)), load)
+    return place(records, maps, shards, maps.grow(shards, load), slots)
 
 
 def crc32_table() -> list[int]:

@@ -280,6 +280,43 @@ def test_rebalancing_evens_bytes():
     assert sharding.rebalanced([0, 1], [10**6, 1]) == [0, 1]
 
 
+def test_stored_maps_are_edited_by_version(spark, tmp_path):
+    rng = random.Random(2)
+    docs = spark.createDataFrame([(i, "x" * rng.randint(0, 2_000)) for i in range(3_000)], "doc_id long, text string")
+    records = sharding.ordered_records(docs, 512)
+    load, maps = sharding.slot_bytes(records), sharding.SlotMaps(spark, f"file://{tmp_path}")
+    assert sum(load.values()) == docs.selectExpr("sum(length(text) + 16) as n").first().n
+    maps.write(8, "key", list(sharding.slot_map(8, 512)), load)
+    assert maps.grow(8) == 9 and maps.rebalance(8 + 1, load) == 10
+    with pytest.raises(Exception, match="(?i)exist"):
+        maps.grow(8)
+    assert [r.shard for r in maps.read(9).orderBy("vslot").collect()] == list(sharding.slot_map(9, 512))
+    totals = Counter()
+    for r in maps.read(10).collect():
+        totals[r.shard] += load.get(r.vslot, 0)
+        assert r.law == "bytes"
+    assert max(totals.values()) - min(totals.values()) <= 0.02 * sum(load.values()) / 9
+    rows = sharding.place(records, maps, 10, slots=512).collect()
+    assert len(rows) == 3_000 and {(r.law, r.grown_shard, r.map_version) for r in rows} == {("bytes", None, 10)}
+    by_shard = defaultdict(int)
+    for r in rows:
+        by_shard[r.shard] += r.size
+    assert by_shard == totals
+
+
+def test_one_doc_id_may_hold_a_third_of_all_rows(spark):
+    rows = [(None if i % 3 else i, f"text {i % 7 and i}", "key", 5) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, law string, slot int")
+    found = sharding.shard_documents(docs).collect()
+    assert Counter((r.doc_id, r.text_crc32) for r in found) == Counter((d, zlib.crc32(t.encode())) for d, t, *_ in rows)
+    slots = defaultdict(list)
+    for r in found:
+        slots[r.shard].append(r.slot)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values()) and len({r.shard for r in found if r.doc_id is None}) == 1
+    pieces = sharding.ordered_records(docs).where("doc_id is null").groupBy("piece").count().collect()
+    assert len(pieces) > 1
+
+
 # ---------------------------------------------------------------- nearest neighbours
 
 
