@@ -1,33 +1,42 @@
 """N-gram Jaccard join in a metric space: pivots, Voronoi regions, windows, and recursion until all links are in.
 
-A document is the set of its five-word shingles, and sets are compared by symmetric difference and size,
-which fix Jaccard: two link when 7 * |x & y| >= 3 * (|x| + |y|).
-
-Pivots are the shingles, in an order that puts those of many documents last; a set's nearest pivots are its own
-members (distance |x| - 1 against |x| + 1 for all others), and of these the first in order names its region. A
-link allows x at most |x| - ceil(3/4 |x|) members that y lacks, so by the triangle inequality the regions of all
-sets it may link with are among those of its first |x| - ceil(3/4 |x|) + 1 pivots: the window into which it is
-copied. Every pair that links meets in some region.
-
-Regions are then joined recursively. First, in each region the smallest set is a pivot of its own and the others
-within reach of its size are compared with it; then those that still lie in another component than a large region's
-next member are compared with that. What still lies in two components of a region is compared exhaustively: in
-small regions all pairs of sizes within the ratio that share as many pivots as a link needs; large regions are
+A document is the set of its five-word shingles; two link when 7 * |x & y| >= 3 * (|x| + |y|), which is a Jaccard
+distance of 1/4 at most.
+
+Pivot documents are sampled, and every set's exact distance to those that share a shingle with it is computed where
+the set is made. A set within 1/4 of a pivot links with it and belongs to the region of its nearest one. By the
+triangle inequality whatever links with a member of a region lies within 1/2 of its pivot: these boundary sets are
+copied into the region (its window) and compared with those members that the inequality leaves, block by block:
+|d(x, p) - d(y, p)| <= 1/4. So members of regions meet nothing else.
+
+Sets that no sampled pivot is near cannot be dealt out like this: unrelated documents share no shingle, so they are
+all at distance 1 from it and from each other. For this rest the pivots are the shingles themselves, in an order
+that puts those of many documents last. A set may lack |x| - ceil(3/4 |x|) of its members in a set it links with,
+so both are among the sets of one of its first |x| - ceil(3/4 |x|) + 1 members: the regions into which it is copied
+(which is prefix filtering). Every pair that links meets in some region.
+
+Regions of shingles are then joined recursively. First, in each region the smallest set is a pivot of its own and the
+others within reach of its size are compared with it; then those that still lie in another component than a large
+region's next member are compared with that. What still lies in two components of a region is compared exhaustively:
+in small regions all pairs of sizes within the ratio that share as many pivots as a link needs; large regions are
 grouped into families, and a family is joined block by block, where the counts of a set's members in CLASSES
 classes of shingles (its distances to as many pivots) rule out most pairs by the triangle inequality before two
 sets are compared. Pairs inside one component need no comparison, and blocks of one component none at all, so a
 group of thousands of near copies costs about as many comparisons as it has members.
 
-Shingles are 64-bit hashes: a wrong link needs several collisions within one pair.
+Shingles are 64-bit hashes, made of words' hashes by polynomials modulo two primes. Sets of one or two shingles link
+with equal sets alone, and these are found by 128-bit digests of the words; any other link rests on three common
+shingles or more, so a wrong one takes a collision within a pair that shares all others.
 
 Edge cases: null and empty texts have no shingles and no links; fewer than five words are one shingle; rows of
 equal doc_id are one document, linked by whatever any of its texts links with; rows of null doc_id have no links
-and a null component; an empty table gives an empty result; extra columns are ignored.
+and a null component; an empty table gives an empty result; extra columns are ignored. doc_id is an integer.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -38,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from driftfold.llm.common import column, discard, forget, materialize, slices, small_batches, texts_of
+from driftfold.llm.common import column, discard, forget, hash_sample, materialize, slices, small_batches, texts_of
 from driftfold.llm.components import components
 
 SHINGLE = 5
@@ -56,7 +65,12 @@ REMEMBERED = 1_000_000
 SHARE, BITS = 512, 1 << 26
 #: Rounds that compare with a neighbour before the exhaustive one.
 ROUNDS = 2
-#: An odd factor and the multipliers of a 64-bit finaliser.
+#: Pivot documents that are sampled, most characters and least and most shingles of one, rings of distance in a region.
+PIVOT_DOCS, PIVOT_CHARS, PIVOT_LEAST, PIVOT_MOST, RINGS = 1_024, 20_000, 8, 2_048, 64
+#: Rows of a large region that stay together when its rows are joined, about: shares they are dealt to.
+SALT = 32
+#: The largest two primes below 2 ** 32, a base for each, an odd factor and the multipliers of a 64-bit finaliser.
+PRIMES, BASES = (4_294_967_291, 4_294_967_279), (2_654_435_761, 2_246_822_519)
 FACTOR, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 
 
@@ -67,22 +81,26 @@ _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
 @cache
-def powers() -> tuple[np.ndarray, np.ndarray]:
-    """FACTOR ** i and its inverse modulo 2 ** 64, for the places of a piece."""
-    inverse = np.full(PIECE, np.uint64(pow(int(FACTOR), -1, 1 << 64)))
-    direct = np.full(PIECE, FACTOR)
-    direct[0] = inverse[0] = 1
-    return np.cumprod(direct), np.cumprod(inverse)
+def powers(prime: int, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """base ** i and its inverse modulo the prime, for the places of a piece."""
+
+    def row(b: int) -> np.ndarray:
+        out = np.ones(1, np.uint64)
+        while len(out) < PIECE:
+            out = np.concatenate((out, out * np.uint64(pow(b, len(out), prime)) % np.uint64(prime)))
+        return out[:PIECE]
+
+    return row(base), row(pow(base, -1, prime))
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Hash and start of every word of lower-case UTF-8 text.
 
-    A word's hash is the polynomial of its bytes: a difference of running sums, moved to place 0. Pieces end at
-    white space; a word too long for one is hashed by itself.
+    A word's hash is made of the polynomials of its bytes modulo two primes: each is a difference of running sums,
+    exact below 2 ** 64 for a piece, moved to place 0. Pieces end at white space; a word too long for one is hashed
+    by itself.
     """
     hashes, starts, at = [], [], 0
-    direct, inverse = powers()
     while at < len(data):
         end = min(len(data), at + PIECE)
         if end < len(data) and data[end] not in _WHITE:
@@ -102,9 +120,13 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         space = _SPACE[codes]
         edges = np.flatnonzero(np.diff(np.concatenate(([True], space, [True]))))
         first, last = edges[::2], edges[1::2]
-        sums = np.zeros(len(codes) + 1, np.uint64)
-        np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * direct[: len(codes)], out=sums[1:])
-        hashes.append((sums[last] - sums[first]) * inverse[first])
+        terms, both = codes.astype(np.uint64) + np.uint64(1), np.zeros(len(first), np.uint64)
+        for prime, base in zip(PRIMES, BASES, strict=True):
+            direct, inverse = powers(prime, base)
+            sums = np.zeros(len(codes) + 1, np.uint64)
+            np.cumsum(terms * direct[: len(codes)], out=sums[1:])
+            both = (both << np.uint64(32)) | ((sums[last] - sums[first]) % np.uint64(prime) * inverse[first] % np.uint64(prime))
+        hashes.append(both)
         starts.append(first + at)
         at = end
     if not hashes:
@@ -163,8 +185,74 @@ def low_codes(members: np.ndarray, buckets: int) -> np.ndarray:
     return (((low >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)) << np.uint64(32)) | (low & np.uint64(0xFFFFFFFF))
 
 
-def survey(docs: DataFrame, buckets: int) -> DataFrame:
-    """One row a document (doc_id, n, set_hash), and rows (bucket, keys) with the low hashes of all distinct sets of a task."""
+def set_digest(text: str, members: np.ndarray) -> bytes:
+    """128 bits that name a set: of its hashes, or, where one or two shingles are all it has, of their words."""
+    if len(members) > 2:
+        return xxhash.xxh3_128_digest(members.tobytes())
+    words = text.encode().lower().split(None)
+    runs = {b" ".join(words[i : i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))}
+    return xxhash.xxh3_128_digest(b"\n".join(sorted(runs)))
+
+
+@dataclass(frozen=True)
+class Pivots:
+    """Sampled documents' sets: their ids and sizes, and the pivots that hold each shingle, by sorted shingle."""
+
+    ids: tuple[int, ...]
+    sizes: np.ndarray
+    keys: np.ndarray
+    starts: np.ndarray
+    owners: np.ndarray
+
+    @staticmethod
+    def of(sets: list[tuple[int, np.ndarray]]) -> Pivots:
+        members = np.concatenate([m for _, m in sets] or [np.zeros(0, np.uint64)])
+        owners = np.repeat(np.arange(len(sets)), [len(m) for _, m in sets])
+        order = np.argsort(members, kind="stable")
+        first, _ = _runs(members[order])
+        return Pivots(tuple(i for i, _ in sets), np.array([len(m) for _, m in sets], np.int64), members[order][first], np.append(first, len(members)), owners[order])
+
+    def near(self, sets: list[np.ndarray]) -> list[list[tuple[int, float, bool]]]:
+        """Of each set the pivots within 1/2, nearest first: number, distance, and whether they link."""
+        out: list[list] = [[] for _ in sets]
+        if not len(self.keys) or not sets:
+            return out
+        members = np.concatenate(sets)
+        at = np.minimum(np.searchsorted(self.keys, members), len(self.keys) - 1)
+        hits = np.flatnonzero(self.keys[at] == members)
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])[hits]
+        at = at[hits]
+        first, length = _runs(owner)
+        for f, m in zip(first.tolist(), length.tolist(), strict=True):
+            own, n = at[f : f + m], len(sets[owner[f]])
+            start, count = self.starts[own], self.starts[own + 1] - self.starts[own]
+            places = np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
+            common = np.bincount(self.owners[places], minlength=len(self.ids))
+            close = np.flatnonzero(3 * common >= n + self.sizes)
+            if len(close):
+                c, sizes = common[close], self.sizes[close]
+                apart = 1 - c / (n + sizes - c)
+                order = np.lexsort((close, apart))
+                out[owner[f]] = [(int(close[i]), float(apart[i]), bool(7 * c[i] >= 3 * (n + sizes[i]))) for i in order]
+        return out
+
+
+def sampled_pivots(docs: DataFrame) -> Pivots:
+    """PIVOT_DOCS documents by hash of their id, less those that link with one taken before."""
+    fit = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= PIVOT_CHARS))
+    rows = hash_sample(fit.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", PIVOT_DOCS).collect()
+    sets = [(r["doc_id"], m) for r, m in zip(rows, shingle_sets([r["text"] for r in rows]), strict=True) if PIVOT_LEAST <= len(m) <= PIVOT_MOST]
+    all_of_them = Pivots.of(sets)
+    kept, taken = set(), []
+    for i, close in enumerate(all_of_them.near([m for _, m in sets])):
+        if not any(linked and j in kept for j, _, linked in close):
+            kept.add(i)
+            taken.append(sets[i])
+    return Pivots.of(taken)
+
+
+def survey(docs: DataFrame, pivots: Broadcast, buckets: int) -> DataFrame:
+    """One row a document (doc_id, n, set_hash, near: the pivots near it), and rows (bucket, keys) with the low hashes of all distinct sets of a task that no pivot links with."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
@@ -176,15 +264,17 @@ def survey(docs: DataFrame, buckets: int) -> DataFrame:
             filled = [b for b in range(buckets) if ends[b] < ends[b + 1]]
             keys = [(codes[ends[b] : ends[b + 1]] & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for b in filled]
             n = len(filled)
-            return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.array(filled, pa.int32()), pa.array(keys, pa.binary())], names=names)
+            return pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, near_type), pa.array(filled, pa.int32()), pa.array(keys, pa.binary())], names=names)
 
         for batch in slices(batches):
-            sets = shingle_sets(texts_of(batch))
-            digests = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-            none = len(sets)
-            yield pa.RecordBatch.from_arrays([column(batch, "doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], names=names)
-            for members, digest in zip(sets, digests, strict=True):
-                if digest not in seen:
+            texts = texts_of(batch)
+            sets = shingle_sets(texts)
+            digests = [set_digest(t, s) for t, s in zip(texts, sets, strict=True)]
+            near, none = pivots.value.near(sets), len(sets)
+            listed = pa.array([[{"pivot": p, "apart": d, "linked": x} for p, d, x in close] or None for close in near], near_type)
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id").cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array(digests, pa.binary()), listed, pa.nulls(none, pa.int32()), pa.nulls(none, pa.binary())], names=names)
+            for members, digest, close in zip(sets, digests, near, strict=True):
+                if len(members) > 2 and digest not in seen and not (close and close[0][2]):
                     if len(seen) < REMEMBERED:
                         seen.add(digest)
                     held.append(low_codes(members, buckets))
@@ -195,8 +285,9 @@ def survey(docs: DataFrame, buckets: int) -> DataFrame:
         if size:
             yield low()
 
-    names = ["doc_id", "n", "set_hash", "bucket", "keys"]
-    return docs.select("doc_id", "text").mapInArrow(read, "doc_id long, n long, set_hash binary, bucket int, keys binary")
+    names = ["doc_id", "n", "set_hash", "near", "bucket", "keys"]
+    near_type = pa.list_(pa.struct([("pivot", pa.int32()), ("apart", pa.float64()), ("linked", pa.bool_())]))
+    return docs.select("doc_id", "text").mapInArrow(read, "doc_id long, n long, set_hash binary, near array<struct<pivot: int, apart: double, linked: boolean>>, bucket int, keys binary")
 
 
 def common_shingles(surveyed: DataFrame) -> np.ndarray:
@@ -229,8 +320,8 @@ def ordered(members: np.ndarray, common: np.ndarray, buckets: int) -> np.ndarray
     return np.concatenate((members[~late], members[late])) if late.any() else members
 
 
-def windows(docs: DataFrame, common: Broadcast, buckets: int) -> DataFrame:
-    """(bucket, pivots): each task's copies of documents into regions, regions dealt to buckets by hash.
+def windows(docs: DataFrame, near: Broadcast, common: Broadcast, buckets: int) -> DataFrame:
+    """(bucket, pivots): each task's copies of documents that no sampled pivot links with into regions of shingles, dealt to buckets by hash.
 
     The binary holds, for a number of copies, pivot hashes (u64), set numbers (u32), then ids (i64) and sizes (u32) of
     the sets: packed, since a row for each copy would cost several times as much to shuffle.
@@ -260,9 +351,10 @@ def windows(docs: DataFrame, common: Broadcast, buckets: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(filled, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "pivots"])
 
         for batch in slices(batches):
-            for doc_id, members in zip(column(batch, "doc_id").to_pylist(), shingle_sets(texts_of(batch)), strict=True):
+            sets = shingle_sets(texts_of(batch))
+            for doc_id, members, close in zip(column(batch, "doc_id").to_pylist(), sets, near.value.near(sets), strict=True):
                 key = xxhash.xxh3_128_digest(members.tobytes())
-                if doc_id is None or not len(members) or key in seen:
+                if doc_id is None or len(members) <= 2 or key in seen or close and close[0][2]:
                     continue
                 if len(seen) < REMEMBERED:
                     seen.add(key)
@@ -475,7 +567,10 @@ def families(large: DataFrame, labels: DataFrame) -> DataFrame:
     """
     rows = with_labels(large.select("region", "id", "n", "first"), labels, "id", "label")
     mixed = rows.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("region")
-    rows = materialize(rows.join(mixed, "region").select("id", "n", "first", "label").distinct(), "families")
+    # A region of a very common line is dealt to SALT shares.
+    salted = mixed.select("region", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("share"))
+    dealt = rows.withColumn("share", F.pmod(F.xxhash64("id"), F.lit(SALT)).cast("int"))
+    rows = materialize(dealt.join(salted, ["region", "share"]).select("id", "n", "first", "label").distinct(), "families")
     roots = components(rows.select(F.col("id").alias("u"), F.col("first").alias("v")))
     members = rows.select("id", "n", "label").distinct().join(roots.select(F.col("node").alias("id"), F.col("root").alias("family")), "id")
     per_label = members.groupBy("family", "label").agg(F.count("*").alias("k"))
@@ -495,7 +590,11 @@ def family_links(docs: DataFrame, members: DataFrame) -> DataFrame:
     pairs = blocks.join(other, "family").where((F.col("block") <= F.col("block2")) & near & ~F.coalesce(F.col("whole") == F.col("whole2"), F.lit(False)))
     key = F.xxhash64("family", "block", "block2")
     sides = pairs.select("family", "block", key.alias("pair"), F.lit(0).alias("side")).union(pairs.where("block <> block2").select("family", F.col("block2"), key, F.lit(1)))
-    sent = members.join(sides, ["family", "block"]).select("id", "label", "pair", "side")
+    return paired_links(docs, members.join(sides, ["family", "block"]).select("id", "label", "pair", "side"))
+
+
+def paired_links(docs: DataFrame, sent: DataFrame) -> DataFrame:
+    """(a, b) of links between the sides of each pair of blocks, or within a block of one side, that join its components."""
     dealt = sent.join(sets_of(docs, sent.select("id").distinct()), "id")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
@@ -516,6 +615,42 @@ def family_links(docs: DataFrame, members: DataFrame) -> DataFrame:
     return grouped.select("pair", "side", "label", "id", "members").mapInArrow(check, "a long, b long")
 
 
+def region_rows(info: DataFrame) -> DataFrame:
+    """(id, n, region, apart, inside) of each distinct set in the regions of sampled pivots: its own, or as one of their boundary."""
+    distinct = info.where("near is not null and doc_id is not null").groupBy("set_hash").agg(F.min(F.struct("doc_id", "n", "near")).alias("one"))
+    each = distinct.select(F.col("one.doc_id").alias("id"), F.col("one.n").alias("n"), F.posexplode("one.near").alias("nth", "pivot"))
+    return each.select("id", "n", F.col("pivot.pivot").alias("region"), F.col("pivot.apart").alias("apart"), (F.col("pivot.linked") & (F.col("nth") == 0)).alias("inside"))
+
+
+def boundary_links(docs: DataFrame, rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(a, b) of links between members of a sampled pivot's region and its boundary, as many as join components.
+
+    Both are dealt to blocks by ring of distance to the pivot; blocks whose rings the triangle inequality keeps apart
+    do not meet, nor do the members among themselves, who all link with the pivot.
+    """
+    ring = F.floor(F.col("apart") * RINGS).cast("int")
+    labelled = with_labels(rows, labels, "id", "label").withColumn("ring", ring)
+    inside = labelled.where("inside")
+    own = inside.groupBy("region").agg(F.min("label").alias("own"))
+    outside = labelled.where("not inside").join(own, "region").where("label <> own").drop("own")
+    if outside.isEmpty():
+        return rows.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+
+    def blocks(side: DataFrame) -> DataFrame:
+        shares = side.groupBy("region", "ring").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("shares"))
+        placed = side.join(shares, ["region", "ring"])
+        return placed.withColumn("block", F.col("ring") * F.lit(1 << 32) + F.pmod(F.xxhash64("id"), F.col("shares")))
+
+    inside, outside = blocks(inside), blocks(outside)
+    left = inside.select("region", F.col("block").alias("b0"), F.col("ring").alias("r0")).distinct()
+    right = outside.select("region", F.col("block").alias("b1"), F.col("ring").alias("r1")).distinct()
+    # A member of ring r0 is nearer than (r0 + 1) / RINGS, a boundary set of ring r1 at r1 / RINGS at the least.
+    pairs = left.join(right, "region").where((F.col("r0") + 1) * 4 >= F.col("r1") * 4 - RINGS).withColumn("pair", F.xxhash64("region", "b0", "b1"))
+    first = inside.join(pairs.select("region", F.col("b0").alias("block"), "pair"), ["region", "block"]).select("id", "label", "pair", F.lit(0).alias("side"))
+    second = outside.join(pairs.select("region", F.col("b1").alias("block"), "pair"), ["region", "block"]).select("id", "label", "pair", F.lit(1).alias("side"))
+    return paired_links(docs, materialize(first.union(second), "boundary"))
+
+
 def _block_links(rows: list[tuple[int, int, int, np.ndarray]]) -> list[tuple[int, int]]:
     """Links between two blocks, or within one, that join components not yet joined."""
     if len(rows) < 2:
@@ -562,14 +697,21 @@ def linked_components(docs: DataFrame) -> DataFrame:
     docs = small_batches(docs).select("doc_id", "text")
     kind = docs.schema["doc_id"].dataType
     buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    surveyed = materialize(survey(docs, buckets), "survey")
-    info = materialize(surveyed.where("set_hash is not null").select("doc_id", "n", "set_hash"), "sets")
+    pivots = sampled_pivots(docs)
+    near = spark.sparkContext.broadcast(pivots)
+    surveyed = materialize(survey(docs, near, buckets), "survey")
+    info = materialize(surveyed.where("set_hash is not null").select("doc_id", "n", "set_hash", "near"), "sets")
     common = spark.sparkContext.broadcast(common_shingles(surveyed))
     discard(surveyed)
     filled = info.where("doc_id is not null and n > 0")
     least = filled.groupBy("set_hash").agg(F.min("doc_id").alias("v"), F.count("*").alias("copies")).where("copies > 1").select("set_hash", "v")
-    copies = materialize(filled.join(least, "set_hash").select(F.col("doc_id").alias("u"), "v").where("u != v"), "links")
-    table = materialize(regions(windows(docs, common, buckets)), "regions")
+    equal = filled.join(least, "set_hash").select(F.col("doc_id").alias("u"), "v").where("u != v")
+    # The members of a sampled pivot's region, each linked with it.
+    in_regions = materialize(region_rows(info), "regions-of-pivots")
+    pivot_ids = F.array(*map(F.lit, pivots.ids)) if pivots.ids else F.array(F.lit(0))
+    to_pivots = in_regions.where("inside").select(F.col("id").alias("u"), F.element_at(pivot_ids, F.col("region") + 1).cast("long").alias("v"))
+    copies = materialize(equal.union(to_pivots), "links")
+    table = materialize(regions(windows(docs, near, common, buckets)), "regions")
     labels = components(copies)
 
     def merge(pairs: DataFrame) -> bool:
@@ -584,6 +726,7 @@ def linked_components(docs: DataFrame) -> DataFrame:
         labels = components(labels.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found))
         return True
 
+    join(boundary_links(docs, in_regions, labels))
     merge(star_pairs(table, labels))
     large = table.where(F.col("size") >= LARGE)
     for _ in range(ROUNDS):

@@ -70,7 +70,7 @@ def copies():
     return [*enumerate(rows), (None, rows[0]), (5, rows[7]), (5, prose(rng, 30))]
 
 
-@pytest.mark.parametrize("limits", [{}, {"COMMON": 3, "LARGE": 4, "BLOCK": 8, "SHARE": 3, "PIVOTS": 500, "COUNTED": 500, "REMEMBERED": 5}, {"COMMON": 10**9, "LARGE": 10**9}, {"MOST_COMMON": 1, "LARGE": 2, "BLOCK": 5, "ROUNDS": 0}])
+@pytest.mark.parametrize("limits", [{}, {"COMMON": 3, "LARGE": 4, "BLOCK": 8, "SHARE": 3, "PIVOTS": 500, "COUNTED": 500, "REMEMBERED": 5}, {"COMMON": 10**9, "LARGE": 10**9}, {"MOST_COMMON": 1, "LARGE": 2, "BLOCK": 5, "ROUNDS": 0}, {"PIVOT_DOCS": 0}, {"PIVOT_DOCS": 12, "BLOCK": 3, "SALT": 3}, {"PIVOT_DOCS": 5, "PIVOT_LEAST": 1, "LARGE": 10**9}])
 def test_components_are_exact(spark, copies, monkeypatch, limits):
     for name, value in limits.items():
         monkeypatch.setattr(jaccard, name, value)
@@ -109,6 +109,35 @@ def test_sets_of_texts_are_their_shingles(monkeypatch):
             assert len(np.intersect1d(got[i], got[j])) == len(sets_of(a) & sets_of(texts[j]))
 
 
+def test_words_of_one_sum_are_told_apart(spark):
+    """The Thue-Morse word and its complement, which meet in any polynomial modulo a power of two."""
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    one, other = ("".join("ab"[x ^ flip] for x in bits) for flip in (0, 1))
+    a, b = jaccard.shingle_sets([one, other])
+    assert a[0] != b[0]
+    rows = [(1, one), (2, other), (3, one.upper()), (4, f"{one} a b c d e f g"), (5, f"{other} a b c d e f g")]
+    got = {r.doc_id: r.component_id for r in jaccard.linked_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}
+
+
+def test_few_shingles_link_with_equal_sets_alone():
+    pairs = [(n, m) for n in (1, 2) for m in range(1, 9) for c in range(1, min(n, m) + 1) if jaccard.links(c, n, m)]
+    assert pairs == [(1, 1), (2, 2)]
+
+
+def test_distances_to_pivots_are_jaccards():
+    rng = random.Random(4)
+    base = [prose(rng, rng.randint(12, 60)) for _ in range(12)]
+    texts = [edited(rng, rng.choice(base), rng.randint(0, 6)) for _ in range(120)]
+    pivots = jaccard.Pivots.of([*enumerate(jaccard.shingle_sets(base))])
+    for text, close in zip(texts, pivots.near(jaccard.shingle_sets(texts)), strict=True):
+        own = sets_of(text)
+        want = {i: 1 - len(own & p) / len(own | p) for i, p in enumerate(map(sets_of, base))}
+        assert {i: d for i, d, _ in close} == pytest.approx({i: d for i, d in want.items() if d <= 0.5})
+        assert all(linked == (100 * len(own & sets_of(base[i])) >= 75 * len(own | sets_of(base[i]))) for i, _, linked in close)
+        assert [d for _, d, _ in close] == sorted(d for _, d, _ in close)
+
+
 def test_window_bound_holds():
     for n in range(1, 400):
         assert jaccard.prefix_length(n) == n - math.ceil(0.75 * n) + 1
