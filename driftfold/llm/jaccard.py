@@ -65,8 +65,8 @@ REMEMBERED = 1_000_000
 SHARE, BITS = 512, 1 << 26
 #: Rounds that compare with a neighbour before the exhaustive one.
 ROUNDS = 2
-#: Pivot documents that are sampled, most characters and least and most shingles of one, rings of distance in a region.
-PIVOT_DOCS, PIVOT_CHARS, PIVOT_LEAST, PIVOT_MOST, RINGS = 1_024, 20_000, 8, 2_048, 64
+#: Pivot documents that are sampled, most characters and least and most shingles of one, rings of distance in a large region.
+PIVOT_DOCS, PIVOT_CHARS, PIVOT_LEAST, PIVOT_MOST, RINGS = 1_024, 20_000, 8, 2_048, 32
 #: Rows of a large region that stay together when its rows are joined, about: shares they are dealt to.
 SALT = 32
 #: The largest two primes below 2 ** 32, a base for each, an odd factor and the multipliers of a 64-bit finaliser.
@@ -238,14 +238,22 @@ class Pivots:
 
 
 def sampled_pivots(docs: DataFrame) -> Pivots:
-    """PIVOT_DOCS documents by hash of their id, less those that link with one taken before."""
+    """PIVOT_DOCS documents by hash of their id, less those that link with one taken before; their sets, at most PIVOT_MOST hashes each, are made by tasks."""
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = shingle_sets(texts_of(batch))
+            fit = pa.array([PIVOT_LEAST <= len(m) <= PIVOT_MOST for m in sets], pa.bool_())
+            yield pa.RecordBatch.from_arrays([column(batch, "doc_id"), pa.array([m.tobytes() for m in sets], pa.binary())], names=["doc_id", "members"]).filter(fit)
+
     fit = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull() & (F.length("text") <= PIVOT_CHARS))
-    rows = hash_sample(fit.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", PIVOT_DOCS).collect()
-    sets = [(r["doc_id"], m) for r, m in zip(rows, shingle_sets([r["text"] for r in rows]), strict=True) if PIVOT_LEAST <= len(m) <= PIVOT_MOST]
+    sample = hash_sample(fit.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "doc_id", PIVOT_DOCS)
+    found = sample.mapInArrow(read, "doc_id long, members binary").toArrow()
+    sets = [(i, np.frombuffer(m, np.uint64)) for i, m in zip(found.column("doc_id").to_pylist(), found.column("members").to_pylist(), strict=True)]
     all_of_them = Pivots.of(sets)
     kept, taken = set(), []
-    for i, close in enumerate(all_of_them.near([m for _, m in sets])):
-        if not any(linked and j in kept for j, _, linked in close):
+    for i, (_, members) in enumerate(sets):
+        if not any(linked and j in kept for j, _, linked in all_of_them.near([members])[0]):
             kept.add(i)
             taken.append(sets[i])
     return Pivots.of(taken)
@@ -625,30 +633,24 @@ def region_rows(info: DataFrame) -> DataFrame:
 def boundary_links(docs: DataFrame, rows: DataFrame, labels: DataFrame) -> DataFrame:
     """(a, b) of links between members of a sampled pivot's region and its boundary, as many as join components.
 
-    Both are dealt to blocks by ring of distance to the pivot; blocks whose rings the triangle inequality keeps apart
-    do not meet, nor do the members among themselves, who all link with the pivot.
+    A side of more than BLOCK sets is dealt to blocks by ring of distance to the pivot; blocks that the triangle
+    inequality keeps apart do not meet, nor do the members among themselves, who all link with the pivot.
     """
-    ring = F.floor(F.col("apart") * RINGS).cast("int")
-    labelled = with_labels(rows, labels, "id", "label").withColumn("ring", ring)
-    inside = labelled.where("inside")
-    own = inside.groupBy("region").agg(F.min("label").alias("own"))
-    outside = labelled.where("not inside").join(own, "region").where("label <> own").drop("own")
-    if outside.isEmpty():
-        return rows.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
-
-    def blocks(side: DataFrame) -> DataFrame:
-        shares = side.groupBy("region", "ring").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("shares"))
-        placed = side.join(shares, ["region", "ring"])
-        return placed.withColumn("block", F.col("ring") * F.lit(1 << 32) + F.pmod(F.xxhash64("id"), F.col("shares")))
-
-    inside, outside = blocks(inside), blocks(outside)
-    left = inside.select("region", F.col("block").alias("b0"), F.col("ring").alias("r0")).distinct()
-    right = outside.select("region", F.col("block").alias("b1"), F.col("ring").alias("r1")).distinct()
-    # A member of ring r0 is nearer than (r0 + 1) / RINGS, a boundary set of ring r1 at r1 / RINGS at the least.
-    pairs = left.join(right, "region").where((F.col("r0") + 1) * 4 >= F.col("r1") * 4 - RINGS).withColumn("pair", F.xxhash64("region", "b0", "b1"))
-    first = inside.join(pairs.select("region", F.col("b0").alias("block"), "pair"), ["region", "block"]).select("id", "label", "pair", F.lit(0).alias("side"))
-    second = outside.join(pairs.select("region", F.col("b1").alias("block"), "pair"), ["region", "block"]).select("id", "label", "pair", F.lit(1).alias("side"))
-    return paired_links(docs, materialize(first.union(second), "boundary"))
+    labelled = with_labels(rows, labels, "id", "label")
+    own = labelled.where("inside").groupBy("region").agg(F.min("label").alias("own"))
+    placed = materialize(labelled.join(own, "region").where("inside or label <> own").select("region", "inside", "id", "label", "apart"), "boundary")
+    sides = placed.groupBy("region", "inside").agg(F.count("*").alias("many"))
+    met = sides.groupBy("region").agg(F.count("*").alias("k")).where("k = 2").select("region")
+    ring = F.floor(F.col("apart") * RINGS).cast("long") * F.lit(1 << 32) + F.pmod(F.xxhash64("id"), F.ceil(F.col("many") / BLOCK))
+    dealt = materialize(placed.join(sides.join(met, "region"), ["region", "inside"]).withColumn("block", F.when(F.col("many") > BLOCK, ring).otherwise(F.lit(-1).cast("long"))).drop("many"), "boundary")
+    blocks = dealt.groupBy("region", "inside", "block").agg(F.min("apart").alias("low"), F.max("apart").alias("high"))
+    left = blocks.where("inside").select("region", F.col("block").alias("b0"), "high")
+    right = blocks.where("not inside").select("region", F.col("block").alias("b1"), "low")
+    pairs = materialize(left.join(right, "region").where(F.col("high") >= F.col("low") - 0.250001).withColumn("pair", F.xxhash64("region", "b0", "b1")), "boundary")
+    first = pairs.select("region", F.lit(True).alias("inside"), F.col("b0").alias("block"), "pair")
+    second = pairs.select("region", F.lit(False), "b1", "pair")
+    sent = dealt.join(first.union(second), ["region", "inside", "block"]).select("id", "label", "pair", F.when(F.col("inside"), 0).otherwise(1).alias("side"))
+    return paired_links(docs, materialize(sent, "boundary"))
 
 
 def _block_links(rows: list[tuple[int, int, int, np.ndarray]]) -> list[tuple[int, int]]:
