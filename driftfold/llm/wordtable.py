@@ -15,6 +15,8 @@ from driftfold.llm.common import slices, texts_of
 FLUSH = 250_000
 #: The head of a table: at most so many words of at most so many bytes, the commonest ones. This bounds what is broadcast.
 HEAD_WORDS, HEAD_BYTES = 400_000, 32
+#: Long words have a head of their own, so that a long word of very many documents is no hot key of a join either.
+LONG_WORDS, LONG_BYTES = 2_000, 4_096
 
 
 def count_words(docs: DataFrame, splitter: Callable[[], Callable[[str], list]], weight: str | None = None, binary: bool = False) -> DataFrame:
@@ -50,14 +52,19 @@ def count_words(docs: DataFrame, splitter: Callable[[], Callable[[str], list]],
 
 
 def head_of(words: DataFrame, limit: int = HEAD_WORDS) -> DataFrame:
-    """The words of at most HEAD_BYTES bytes whose count reaches the least level that keeps the head within its limit.
+    """The commonest words of at most HEAD_BYTES bytes, and of the longer ones up to LONG_BYTES.
 
-    Levels are eighths of powers of two, so the histogram that decides has a few hundred rows for any corpus.
+    Each kind ends at the least level of counts that keeps it within its limit. Levels are eighths of powers of
+    two, so the histogram that decides has a few hundred rows for any corpus.
     """
-    short = words.where(F.octet_length("word") <= HEAD_BYTES).withColumn("level", F.floor(F.log2("n") * 8).cast("int"))
-    kept, least = 0, None
-    for row in short.groupBy("level").count().orderBy(F.desc("level")).collect():
-        if kept + row["count"] > limit:
-            break
-        kept, least = kept + row["count"], row["level"]
-    return short.where(F.lit(False) if least is None else F.col("level") >= least).drop("level")
+    size = F.octet_length("word")
+    sized = words.where(size <= LONG_BYTES).withColumn("level", F.floor(F.log2("n") * 8).cast("int")).withColumn("long", size > HEAD_BYTES)
+    room, least = {False: limit, True: min(limit, LONG_WORDS)}, {False: None, True: None}
+    for row in sized.groupBy("long", "level").count().orderBy(F.desc("level")).collect():
+        kind = row["long"]
+        room[kind] -= row["count"]
+        # A kind that is over its limit stays so, and takes no lower level.
+        if room[kind] >= 0:
+            least[kind] = row["level"]
+    kept = [(F.col("long") == kind) & (F.col("level") >= level) for kind, level in least.items() if level is not None]
+    return sized.where(kept[0] | kept[1] if len(kept) == 2 else kept[0] if kept else F.lit(False)).drop("level", "long")

@@ -1,6 +1,7 @@
 """Operators 2 and 4 against the tokenizers library on whole texts."""
 
 import hashlib
+import json
 import zlib
 
 import numpy as np
@@ -39,7 +40,6 @@ def test_a_small_head_changes_nothing(all_docs, monkeypatch, head):
     whole = order(tuple(r) for r in bpe.bpe_digest(all_docs, PATH).collect())
     monkeypatch.setattr(wordtable.head_of, "__defaults__", (head,))
     monkeypatch.setattr(bpe, "MEMO", 10)
-    monkeypatch.setattr(bpe, "TAIL_MEMO", 10)
     assert order(tuple(r) for r in bpe.bpe_digest(all_docs, PATH).collect()) == whole
 
 
@@ -50,6 +50,24 @@ def test_encode_documents_keeps_columns(odd_docs, library):
         assert r.ids == packed(library.encode(r.text or "", add_special_tokens=False).ids)
 
 
+def test_other_tokenizers_are_refused(spark, tmp_path):
+    other = json.loads(open(PATH).read())
+    other["normalizer"] = None
+    (tmp_path / "other.json").write_text(json.dumps(other))
+    with pytest.raises(ValueError, match="another way"):
+        bpe.WordCoder(bpe.read_spec(str(tmp_path / "other.json")))
+
+
+def test_marks_are_filled_in_order():
+    def packed_as(x, width):
+        return np.array(x, dtype=f"<u{width}")
+
+    for width in (2, 4):
+        mark = (1 << 8 * width) - 1
+        got = bpe.filled(packed_as([5, mark, 6, mark, mark], width), [packed([1, 2]), packed([]), packed([70_000])], width)
+        assert np.frombuffer(got, "<u4").tolist() == [5, 1, 2, 6, 70_000]
+
+
 def test_word_counts(spark, all_docs):
     def splitter():
         return str.split
@@ -61,8 +79,8 @@ def test_word_counts(spark, all_docs):
             n, m = want.get(w, (0, 0))
             want[w] = (n + 1, m + (r.doc_id is not None and r.doc_id < 100))
     assert got == want
-    head = wordtable.head_of(spark.createDataFrame([("a", 100), ("b", 90), ("c", 1), ("d" * 40, 500)], "word string, n long"), 2)
-    assert {r.word for r in head.collect()} == {"a", "b"}
+    head = wordtable.head_of(spark.createDataFrame([("a", 100), ("b", 90), ("c", 1), ("d" * 40, 500), ("e" * 5_000, 900)], "word string, n long"), 2)
+    assert {r.word for r in head.collect()} == {"a", "b", "d" * 40}
 
 
 def test_segments_read_back(all_docs, library):
