@@ -1,9 +1,10 @@
 """BPE encoding and decoding through a table of distinct words.
 
-A first pass splits all texts into the tokenizer's words and counts them. Each distinct word is encoded once, by the
-task that holds its row: the encoded table. A second pass splits the texts again and joins ids to words by position:
-the commonest words meet their ids in a bounded head of the table that is broadcast (see wordtable); each other word
-leaves a mark where it stands, is joined with the table by (word), and its ids come back to their place by (row, nth).
+A first pass splits all texts into the tokenizer's words and counts them: the distinct-word table. Each word of its
+head is encoded once and the head is broadcast; the second pass splits the texts again and joins ids to words by
+position: a document's ids are its words' ids, in order. The head is bounded (see wordtable). A word outside it is
+encoded by the task that meets it, once a task as far as the memo goes: to fetch its ids from the table instead, the
+documents' ids would have to be written and shuffled once more (README has the figures of that attempt).
 Decoding joins ids to the vocabulary's pieces, a table of (id, piece) that is broadcast, as the vocabulary bounds it.
 
 Written for tokenizer files of one kind (EXPECTED); any other file is refused.
@@ -27,9 +28,9 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from driftfold.llm.common import column, materialize, once, slices, small_batches, texts_of
+from driftfold.llm.common import column, discard, materialize, once, slices, small_batches, texts_of
 from driftfold.llm.wordtable import count_words, head_of
 
 # The vocabulary's word pattern for lower-case Latin-1 text, with its classes written out.
@@ -48,8 +49,10 @@ EXPECTED = {
     "post_processor": None,
     "decoder": None,
 }
-#: Words a worker without a head remembers.
-MEMO = 400_000
+#: Words a worker remembers: without a head, and beside one, whose words are the frequent ones.
+MEMO, TAIL_MEMO = 400_000, 50_000
+#: Bytes of text that are encoded before their ids and pieces are passed on.
+SLICE = 1_000_000
 
 
 @cache
@@ -63,14 +66,14 @@ def byte_letters() -> list[str]:
 class WordCoder(dict):
     """Maps a word to its ids as little-endian unsigned 32-bit integers; unknown words are encoded and remembered."""
 
-    def __init__(self, spec: str, known: Iterable[tuple[str, bytes]] = ()):
+    def __init__(self, spec: str, known: Iterable[tuple[str, bytes]] | None = None):
         from tokenizers import Tokenizer
 
-        super().__init__(known)
+        super().__init__(known or ())
         said = json.loads(spec)
         if {k: said.get(k) for k in EXPECTED} != EXPECTED or said["model"]["type"] != "BPE" or said["model"].get("dropout"):
             raise ValueError("this tokenizer splits, encodes or decodes words in another way than this operator does")
-        self.limit = MEMO
+        self.limit = MEMO if known is None else len(self) + TAIL_MEMO
         self.tokenizer = Tokenizer.from_str(spec)
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
@@ -108,63 +111,21 @@ class WordCoder(dict):
     def encode(self, text: str) -> bytes:
         return b"".join(map(self.__getitem__, self.words(text)))
 
-    def decode(self, ids: bytes) -> str:
-        return " ".join(map(self.pieces.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))
-
 
 def coder(spec: str) -> WordCoder:
     """One a worker process and vocabulary, without a head."""
     return once(hashlib.md5(spec.encode()).hexdigest(), lambda: WordCoder(spec))
 
 
-class HeadCoder(WordCoder):
-    """Knows the head's words alone: any other one is noted, and leaves a mark in its place."""
-
-    #: No id is this one.
-    MARK = 0xFFFFFFFF
-
-    def __init__(self, spec: str, known: Iterable[tuple[str, bytes]]):
-        super().__init__(spec, known)
-        self.rare: list[str] = []
-        self.mark = np.array([self.MARK], dtype="<u4").tobytes()
-
-    def __missing__(self, word: str) -> bytes:
-        self.rare.append(word)
-        return self.mark
-
-    def marked(self, text: str) -> tuple[np.ndarray, list[str]]:
-        """The text's ids with marks, and the words that these stand for, in order."""
-        self.rare = []
-        ids = np.frombuffer(self.encode(text), "<u4")
-        return ids, self.rare
-
-
-def headed_coder(key: str, spec: Broadcast, head: Broadcast) -> HeadCoder:
+def headed_coder(key: str, spec: Broadcast, head: Broadcast) -> WordCoder:
     """One a worker process for each head, which the key names."""
 
-    def make() -> HeadCoder:
-        return HeadCoder(spec.value, zip(*(head.value.column(c).to_pylist() for c in ("word", "ids")), strict=True))
+    def make() -> WordCoder:
+        return WordCoder(spec.value, zip(*(head.value.column(c).to_pylist() for c in ("word", "ids")), strict=True))
 
     return once(key, make)
 
 
-def id_width(n_pieces: int) -> int:
-    """Bytes of an id on its way; the largest number is the mark."""
-    return 2 if n_pieces < 0xFFFF else 4
-
-
-def filled(marked: np.ndarray, tails: list[bytes], width: int) -> bytes:
-    """Ids (little-endian unsigned 32-bit) with the marks replaced, in order, by those of the words they stand for."""
-    marks = marked == (1 << 8 * width) - 1
-    if not marks.any():
-        return marked.astype("<u4").tobytes()
-    lengths = np.ones(len(marked), np.int64)
-    lengths[marks] = [len(x) // 4 for x in tails]
-    out = np.repeat(marked.astype("<u4"), lengths)
-    out[np.repeat(marks, lengths)] = np.frombuffer(b"".join(tails), "<u4")
-    return out.tobytes()
-
-
 def read_spec(path: str) -> str:
     """The tokenizer's file, read on the driver and sent with the job: workers need no copy of it."""
     return Path(path).read_text()
@@ -179,16 +140,19 @@ def distinct_words(docs: DataFrame, spec: Broadcast) -> DataFrame:
     return count_words(docs, splitter).select("word", "n")
 
 
-def encoded_words(docs: DataFrame, spec: Broadcast) -> DataFrame:
-    """(word, n, ids): the written table of distinct words, each encoded once."""
+def encoded_head(docs: DataFrame, spec: Broadcast) -> Broadcast:
+    """The head of the distinct-word table, each word encoded once, as an Arrow table (word, ids)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(spec.value)
         for batch in batches:
             ids = pa.array([code[w] for w in column(batch, "word").to_pylist()], pa.binary())
-            yield pa.RecordBatch.from_arrays([column(batch, "word"), column(batch, "n"), ids], names=["word", "n", "ids"])
+            yield pa.RecordBatch.from_arrays([column(batch, "word"), ids], names=["word", "ids"])
 
-    return materialize(distinct_words(docs, spec).mapInArrow(encode, "word string, n long, ids binary"), "distinct")
+    counted = materialize(distinct_words(docs, spec), "distinct")
+    head = head_of(counted).select("word").mapInArrow(encode, "word string, ids binary").toArrow()
+    discard(counted)
+    return docs.sparkSession.sparkContext.broadcast(head)
 
 
 def piece_table(spark: SparkSession, spec: str) -> DataFrame:
@@ -196,53 +160,33 @@ def piece_table(spark: SparkSession, spec: str) -> DataFrame:
     return spark.createDataFrame(pa.table({"id": pa.array(range(len(pieces := coder(spec).pieces)), pa.int64()), "piece": pieces}))
 
 
-def joined_ids(docs: DataFrame, path: str, text: str, finish: Callable[[pa.RecordBatch, list[bytes], list[str]], pa.RecordBatch], kept: list[str], made: StructType) -> DataFrame:
-    """The columns `kept` of docs, as the struct `doc`, beside what finish(batch, ids, decoded texts) makes of each document."""
+def joined_ids(docs: DataFrame, path: str, text: str, finish: Callable[[pa.RecordBatch, list[bytes], list[str]], pa.RecordBatch], made: StructType) -> DataFrame:
+    """What finish(batch, ids, decoded texts) makes of docs; `made` is its schema."""
     docs = small_batches(docs)
     spark = docs.sparkSession
     spec = spark.sparkContext.broadcast(read_spec(path))
-    words = encoded_words(docs.select(F.col(f"`{text}`").alias("text")), spec)
-    head = spark.sparkContext.broadcast(head_of(words).select("word", "ids").toArrow())
+    head = encoded_head(docs.select(F.col(f"`{text}`").alias("text")), spec)
     pieces = spark.sparkContext.broadcast(piece_table(spark, spec.value).orderBy("id").select("piece").toArrow())
-    width = id_width(pieces.value.num_rows)
     key = uuid.uuid4().hex
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = headed_coder(key, spec, head)
-        for batch in slices(batches):
-            found = [code.marked(x) for x in texts_of(batch)]
-            # Cut to the width, the mark is the largest number of that width.
-            marked = pa.array([ids.astype(f"<u{width}").tobytes() for ids, _ in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([column(batch, "doc"), marked, pa.array([rare or None for _, rare in found], pa.list_(pa.string()))], names=["doc", "marked", "rare"])
-
-    whole = StructField("doc", StructType([docs.schema[c] for c in kept]))
-    sent = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("doc"), F.col(f"`{text}`").alias("text"))
-    marked = sent.mapInArrow(mark, StructType([whole, StructField("marked", BinaryType()), StructField("rare", ArrayType(StringType()))]))
-    # Written, so that the generated row number means the same row in both uses.
-    marked = materialize(marked.withColumn("row", F.monotonically_increasing_id()), "marked")
-    rare = marked.where("rare is not null").select("row", F.posexplode("rare").alias("nth", "word"))
-    back = rare.join(words.select("word", "ids"), "word").groupBy("row").agg(F.sort_array(F.collect_list(F.struct("nth", "ids"))).alias("tails"))
-
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name = once(key + "pieces", lambda: pieces.value.column("piece").to_pylist()).__getitem__
-        for batch in slices(batches, "marked"):
-            rows = zip(column(batch, "marked").to_pylist(), column(batch, "tails").to_pylist(), strict=True)
-            ids = [filled(np.frombuffer(m, f"<u{width}"), tails or [], width) for m, tails in rows]
-            yield finish(batch, ids, [" ".join(map(name, np.frombuffer(x, "<u4").tolist())) for x in ids])
-
-    together = marked.drop("rare").join(back, "row", "left").select("doc", "marked", F.col("tails.ids").alias("tails"))
-    return together.mapInArrow(fill, StructType([whole, *made.fields]))
+        piece_of = once(key + "pieces", lambda: pieces.value.column("piece").to_pylist()).__getitem__
+        for batch in slices(batches, text, SLICE):
+            ids = [code.encode(x) for x in texts_of(batch, text)]
+            yield finish(batch, ids, [" ".join(map(piece_of, np.frombuffer(x, "<u4").tolist())) for x in ids])
+
+    return docs.mapInArrow(join, made)
 
 
 def encode_documents(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
     """docs with ids (binary, little-endian unsigned 32-bit) and decoded; columns of those names are replaced."""
-    kept = [c for c in docs.columns if c not in ("ids", "decoded")]
+    docs = docs.drop("ids", "decoded")
 
     def finish(batch: pa.RecordBatch, ids: list[bytes], decoded: list[str]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([column(batch, "doc"), pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], names=["doc", "ids", "decoded"])
+        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(ids, pa.binary()), pa.array(decoded, pa.string())], names=[*batch.schema.names, "ids", "decoded"])
 
-    made = StructType([StructField("ids", BinaryType()), StructField("decoded", StringType())])
-    return joined_ids(docs, path, text, finish, kept, made).select(*[F.col(f"doc.`{c}`") for c in kept], "ids", "decoded")
+    return joined_ids(docs, path, text, finish, StructType([*docs.schema.fields, StructField("ids", BinaryType()), StructField("decoded", StringType())]))
 
 
 def bpe_digest(docs: DataFrame, path: str) -> DataFrame:
@@ -251,7 +195,7 @@ def bpe_digest(docs: DataFrame, path: str) -> DataFrame:
     def finish(batch: pa.RecordBatch, ids: list[bytes], decoded: list[str]) -> pa.RecordBatch:
         counts = pa.array([len(x) // 4 for x in ids], pa.int64())
         shas = [pa.array([hashlib.sha256(x).hexdigest() for x in xs], pa.string()) for xs in (ids, map(str.encode, decoded))]
-        return pa.RecordBatch.from_arrays([column(batch, "doc"), counts, *shas], names=["doc", "n_tokens", "ids_sha256", "decoded_sha256"])
+        return pa.RecordBatch.from_arrays([column(batch, "doc_id"), counts, *shas], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    made = StructType([StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])
-    return joined_ids(docs, path, "text", finish, ["doc_id"], made).select("doc.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    made = StructType([docs.schema["doc_id"], StructField("n_tokens", LongType()), StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])
+    return joined_ids(docs.select("doc_id", "text"), path, "text", finish, made)

@@ -87,17 +87,17 @@ def small_batches(df: DataFrame) -> DataFrame:
 SLICE_CHARS = 4_000_000
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches, cut so that each holds about SLICE_CHARS bytes of text or a single row."""
+def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_CHARS) -> Iterator[pa.RecordBatch]:
+    """The batches, cut so that each holds about `most` bytes of text or a single row."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
-        if column.nbytes <= SLICE_CHARS or batch.num_rows == 1:
+        if column.nbytes <= most or batch.num_rows == 1:
             if batch.num_rows:
                 yield batch
             continue
         start, size = 0, 0
         for i, n in enumerate(pc.binary_length(column).to_pylist()):
-            if size and size + (n or 0) > SLICE_CHARS:
+            if size and size + (n or 0) > most:
                 yield batch.slice(start, i - start)
                 start, size = i, 0
             size += n or 0
