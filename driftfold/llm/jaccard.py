@@ -47,7 +47,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from driftfold.llm.common import column, discard, forget, hash_sample, materialize, slices, small_batches, texts_of
+from driftfold.llm.common import column, discard, forget, hash_sample, materialize, sized, slices, small_batches, texts_of
 from driftfold.llm.components import components
 
 SHINGLE = 5
@@ -67,8 +67,8 @@ SHARE, BITS = 512, 1 << 26
 ROUNDS = 2
 #: Pivot documents that are sampled, most characters and least and most shingles of one, rings of distance in a large region.
 PIVOT_DOCS, PIVOT_CHARS, PIVOT_LEAST, PIVOT_MOST, RINGS = 1_024, 20_000, 8, 2_048, 32
-#: Rows of a large region that stay together when its rows are joined, about: shares they are dealt to.
-SALT = 32
+#: Sets of a region that stay together where regions are joined, about.
+SALT = 256
 #: The largest two primes below 2 ** 32, a base for each, an odd factor and the multipliers of a 64-bit finaliser.
 PRIMES, BASES = (4_294_967_291, 4_294_967_279), (2_654_435_761, 2_246_822_519)
 FACTOR, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -573,11 +573,12 @@ def families(large: DataFrame, labels: DataFrame) -> DataFrame:
     Sets are dealt to blocks of about BLOCK of a family: a component that fills blocks has blocks of its own
     (`whole` names it), the others share some.
     """
-    rows = with_labels(large.select("region", "id", "n", "first"), labels, "id", "label")
-    mixed = rows.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low <> high").select("region")
-    # A region of a very common line is dealt to SALT shares.
-    salted = mixed.select("region", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("share"))
-    dealt = rows.withColumn("share", F.pmod(F.xxhash64("id"), F.lit(SALT)).cast("int"))
+    rows = with_labels(large.select("region", "id", "n", "first", "size"), labels, "id", "label")
+    mixed = rows.groupBy("region").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max("size").alias("size")).where("low <> high")
+    # A region of a very common line is dealt to shares of about SALT sets.
+    shares = F.ceil(F.col("size") / SALT).cast("int")
+    salted = mixed.select("region", F.explode(F.sequence(F.lit(0), shares - 1)).alias("share"))
+    dealt = rows.withColumn("share", F.pmod(F.xxhash64("id"), shares).cast("int"))
     rows = materialize(dealt.join(salted, ["region", "share"]).select("id", "n", "first", "label").distinct(), "families")
     roots = components(rows.select(F.col("id").alias("u"), F.col("first").alias("v")))
     members = rows.select("id", "n", "label").distinct().join(roots.select(F.col("node").alias("id"), F.col("root").alias("family")), "id")
@@ -638,11 +639,13 @@ def boundary_links(docs: DataFrame, rows: DataFrame, labels: DataFrame) -> DataF
     """
     labelled = with_labels(rows, labels, "id", "label")
     own = labelled.where("inside").groupBy("region").agg(F.min("label").alias("own"))
-    placed = materialize(labelled.join(own, "region").where("inside or label <> own").select("region", "inside", "id", "label", "apart"), "boundary")
+    # One row a pivot and side: PIVOT_DOCS bounds what is broadcast here.
+    placed = materialize(labelled.join(sized(own, "components of pivots", PIVOT_DOCS, 16), "region").where("inside or label <> own").select("region", "inside", "id", "label", "apart"), "boundary")
     sides = placed.groupBy("region", "inside").agg(F.count("*").alias("many"))
     met = sides.groupBy("region").agg(F.count("*").alias("k")).where("k = 2").select("region")
     ring = F.floor(F.col("apart") * RINGS).cast("long") * F.lit(1 << 32) + F.pmod(F.xxhash64("id"), F.ceil(F.col("many") / BLOCK))
-    dealt = materialize(placed.join(sides.join(met, "region"), ["region", "inside"]).withColumn("block", F.when(F.col("many") > BLOCK, ring).otherwise(F.lit(-1).cast("long"))).drop("many"), "boundary")
+    many = sized(sides.join(met, "region"), "sides of pivots", 2 * PIVOT_DOCS, 24)
+    dealt = materialize(placed.join(many, ["region", "inside"]).withColumn("block", F.when(F.col("many") > BLOCK, ring).otherwise(F.lit(-1).cast("long"))).drop("many"), "boundary")
     blocks = dealt.groupBy("region", "inside", "block").agg(F.min("apart").alias("low"), F.max("apart").alias("high"))
     left = blocks.where("inside").select("region", F.col("block").alias("b0"), "high")
     right = blocks.where("not inside").select("region", F.col("block").alias("b1"), "low")
