@@ -209,10 +209,10 @@ def q_markdown_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.markdown_rows(views.listing(A.users(spark, sf_dir), A.health(spark, sf_dir)))
 
 
-@query(r"""select page_id, replace(replace(regexp_replace(substr(html, 1, 400), '([\\|\[\]*_`<>])', '\\\1', 'g'), chr(13), ' '), chr(10), '<br>') as escaped,
+@query(r"""select page_id, replace(replace(regexp_replace(html, '([\\|\[\]*_`<>])', '\\\1', 'g'), chr(13), ' '), chr(10), '<br>') as escaped,
     regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1) || regexp_replace(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)', 1), '/+$', '') as label from pages""")
 def q_markdown_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.table(spark, sf_dir, "pages").select("page_id", S.markdown_escape(F.left("html", F.lit(400))).alias("escaped"), S.blog_label(F.col("url")).alias("label"))
+    return A.table(spark, sf_dir, "pages").select("page_id", S.markdown_escape(F.col("html")).alias("escaped"), S.blog_label(F.col("url")).alias("label"))
 
 
 # ---------------------------------------------------------------- schedule
@@ -235,18 +235,18 @@ def q_due_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", "category", S.iso(F.col("due_at")).alias("due_at"), (F.col("due_at") <= now()).alias("due"))
 
 
-@query(f"with {DUE_SQL} select id, category, strftime(due_at, {ISO}) as due_at from due where due_at <= timestamp '{A.NOW}' order by category, due.due_at, id limit 200")
+@query(f"with {DUE_SQL} select id, category, strftime(due_at, {ISO}) as due_at from due where due_at <= timestamp '{A.NOW}' order by category, due.due_at, id limit 500")
 def q_due_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return schedule.due_users(A.users(spark, sf_dir), now(), 200).select("id", "category", S.iso(F.col("due_at")).alias("due_at"))
+    return schedule.due_users(A.users(spark, sf_dir), now()).select("id", "category", S.iso(F.col("due_at")).alias("due_at"))
 
 
 @query(f"""with {A.USERS_SQL}, {A.HEALTH_SQL},
     d as (select u.url, case when h.url is null then timestamp '1970-01-01' when h.well then h.checked_at + interval 30 day else h.checked_at + to_hours(cast(24 * least(h.consecutive_failures, 3) as integer)) end as due_at
           from (select distinct blog_url as url from users where profile_status = 'public' and blog_status = 'present' and blog_url is not null) u left join health h on h.url = u.url)
-    select url, strftime(due_at, {ISO}) as due_at from d where due_at <= timestamp '{A.NOW}' order by d.due_at, url limit 20""")
+    select url, strftime(due_at, {ISO}) as due_at from d where due_at <= timestamp '{A.NOW}' order by d.due_at, url limit 200""")
 def q_link_due(spark: SparkSession, sf_dir: str) -> DataFrame:
     urls = A.users(spark, sf_dir).where(S.blog_present()).select(F.col("blog_url").alias("url"))
-    return schedule.due_links(urls, A.health(spark, sf_dir), now(), 20).select("url", S.iso(F.col("due_at")).alias("due_at"))
+    return schedule.due_links(urls, A.health(spark, sf_dir), now()).select("url", S.iso(F.col("due_at")).alias("due_at"))
 
 
 FRONTIER_SQL = """f as (select coalesce(max(id) filter (last_confirmed_at is not null and profile_status in ('public', 'hidden')), 0) + 1 as frontier from users),
@@ -259,11 +259,11 @@ def q_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with {DUE_SQL}, {FRONTIER_SQL},
-    top as (select * from due where due_at <= timestamp '{A.NOW}' order by category, due_at, id limit 100)
+    top as (select * from due where due_at <= timestamp '{A.NOW}' order by category, due_at, id limit 500)
     select seq, id, true as is_probe from probes
     union all select row_number() over (order by category, due_at, id) + 63, id, false from top where id not in (select id from probes)""")
 def q_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return schedule.work_list(A.users(spark, sf_dir), now(), cursor=0, limit=100)
+    return schedule.work_list(A.users(spark, sf_dir), now(), cursor=0)
 
 
 TAIL_SQL = """tail as (select id, case when id > (select max(id) - 60 from users) then 'missing' else profile_status end as profile_status,
@@ -368,9 +368,9 @@ def q_run_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""with {A.USERS_SQL} select greatest(700, coalesce(max(id), 0)) as highest_attempted_id,
-    greatest(200, coalesce(max(id) filter (last_confirmed_at is not null and profile_status in ('public', 'hidden')), 0)) as highest_confirmed_user_id from users where id <= 600""")
+    greatest(200, coalesce(max(id) filter (last_confirmed_at is not null and profile_status in ('public', 'hidden')), 0)) as highest_confirmed_user_id from users""")
 def q_advance_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = A.users(spark, sf_dir).where("id <= 600").select("id", S.existing().alias("is_existing"))
+    rows = A.users(spark, sf_dir).select("id", S.existing().alias("is_existing"))
     return safety.advance_state(rows, 700, 200)
 
 
@@ -384,14 +384,14 @@ def q_shard_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("shard_start", "file").agg(F.count("*").alias("n"), F.min("id").alias("low"), F.max("id").alias("high"))
 
 
-@query(f"""with {A.USERS_SQL}, new as (select id, 'changed' as last_error from users where id % 2 = 0 and id <= 1200)
+@query(f"""with {A.USERS_SQL}, new as (select id, 'changed' as last_error from users where profile_status = 'hidden')
     select id, case when profile_status = 'x' then '' else case when consecutive_failures > 0 then last_check_result end end as last_error from users where id not in (select id from new)
         and id // 1000 in (select id // 1000 from new)
     union all select * from new""")
 def q_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every second record up to 1,200 changed: the rows of the shards that touches."""
+    """All hidden records changed: the rows of the shards that touches."""
     old = A.users(spark, sf_dir)
-    new = old.where("id % 2 = 0 and id <= 1200").withColumn("last_error", F.lit("changed"))
+    new = old.where("profile_status = 'hidden'").withColumn("last_error", F.lit("changed"))
     return audit.upsert_shards(old, new, 1000).select("id", "last_error")
 
 
@@ -501,10 +501,10 @@ def q_health_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.validate_health(A.health(spark, sf_dir)).select("url", "code")
 
 
-@query("""with k as (select event_id, json_keys(props) as ks from events where event_id % 3 = 0)
+@query("""with k as (select event_id, json_keys(props) as ks from events)
     select 'unknown_field' as code, count(*) as n from k, unnest(ks) union all select 'missing_fields', count(*) from k""")
 def q_field_set_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = A.table(spark, sf_dir, "events").where("event_id % 3 = 0").select(F.col("event_id").cast("string").alias("path"), F.col("props").alias("line"))
+    rows = A.table(spark, sf_dir, "events").select(F.col("event_id").cast("string").alias("path"), F.col("props").alias("line"))
     return validate.field_issues(rows).groupBy("code").agg(F.count("*").alias("n"))
 
 

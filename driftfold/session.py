@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -27,9 +28,11 @@ def local_session(cores: int | str = 8, partitions: int = 8, **conf: str) -> Spa
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which driver and executors share; a local folder only where it is unset."""
+    """spark.checkpoint.dir, which driver and executors share; a folder of this machine only where all run in one process."""
     conf = spark.sparkContext.getConf()
     if not spark.sparkContext.getCheckpointDir():
         named = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir")
+        if not named and not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="driftfold-"))
     return (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()).rstrip("/")
