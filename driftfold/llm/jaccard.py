@@ -473,8 +473,8 @@ def compare(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     centers = shares.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)).alias("share"))
     sent = members.union(centers)
     dealt = sent.join(sets_of(docs, sent.select("id")), "id").withColumn("member", F.col("id") != F.col("a"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    grouped = dealt.repartition(parts, "a", "share").sortWithinPartitions("a", "share", "member")
+    # Without a number of partitions, so that adaptive execution joins small ones: late rounds have few pairs.
+    grouped = dealt.repartition("a", "share").sortWithinPartitions("a", "share", "member")
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
