@@ -10,9 +10,11 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from driftfold.schema import ERROR_LENGTH, HEALTHY, SHARD_SIZE, SchedulePolicy
+from driftfold.schema import ERROR_LENGTH, HEALTHY, SHARD_SIZE, LinkPolicy, RetryPolicy, SchedulePolicy
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
+#: How rows are written as JSON lines and read back: nulls kept, times as canonical UTC text.
+WIRE = KEEP_NULLS | {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss'Z'"}
 
 
 def epoch() -> Column:
@@ -244,3 +246,52 @@ def retry_after_seconds(value: Column, now: Column, digits_only: bool = False) -
 
 def any_of(tests: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, tests)
+
+
+def pretty_json(row: Column) -> Column:
+    """A struct as an indented JSON document with a final line break, its fields in the struct's order."""
+    text = F.to_json(row, WIRE | {"pretty": "true"})
+    # Only a line's own key stands before its first " : ", as keys hold no quotes and line breaks are escaped.
+    return F.concat(F.regexp_replace(text, r'(?m)^( *"[^"]*") : ', "$1: "), F.lit("\n"))
+
+
+def page_url(site: str, user_id: Column, token: Column | None = None) -> Column:
+    """A user's page; with a token a query that no cache knows. Null for ids below 1."""
+    plain = F.concat(F.lit(site), user_id.cast("string"))
+    return F.when(user_id >= 1, plain if token is None else F.concat(plain, F.lit("?_icbi_fresh="), F.url_encode(token)))
+
+
+def run_id(mode: str, at: Column, salt: Column) -> Column:
+    """mode-stamp-hex8; the salt is whatever makes the run its own."""
+    return F.concat_ws("-", F.lit(mode), F.date_format(at, "yyyyMMdd'T'HHmmss'Z'"), F.left(F.sha2(salt.cast("string"), 256), F.lit(8)))
+
+
+def one_of(value: Column, allowed: tuple[str, ...], default: str | None = None) -> Column:
+    """The value if it is in a closed set, read without regard to case and outer blanks, else the default."""
+    tidy = F.lower(F.trim(value))
+    return F.when(tidy.isin(*allowed), tidy).otherwise(F.lit(default).cast("string"))
+
+
+def first_given(row: Column | str, *names: str) -> Column:
+    """The first member of a JSON object that is there and not null, among alias names."""
+    return F.coalesce(*[F.get_json_object(row, f"$['{name}']") for name in names])
+
+
+def retry_wait(attempt: Column, retry_after: Column, jitter: Column, policy: RetryPolicy = RetryPolicy()) -> Column:
+    """Seconds before the attempt after this one (from 1); null where there is none.
+
+    The server's wish holds if it is short enough, and ends the attempts if not. Without one the wait doubles from
+    the base up to the cap and moves by up to a fifth: jitter is between 0 and 1, a half leaves it as it is.
+    """
+    doubled = F.least(F.lit(policy.cap), F.lit(policy.base) * F.pow(F.lit(2.0), F.least(F.greatest(attempt - 1, F.lit(0)), F.lit(60))))
+    moved = F.least(F.lit(policy.cap), doubled * (F.lit(0.8) + jitter * 0.4))
+    wait = F.when(retry_after.isNull(), moved).when(retry_after <= policy.longest_retry_after, retry_after)
+    return F.when(attempt < policy.attempts, wait)
+
+
+def attempts_made(answers: Column, policy: LinkPolicy = LinkPolicy()) -> Column:
+    """How many of a link's answers (retryable, retry_after), in order, are made: up to the first that ends the attempts."""
+    ends = F.transform(answers, lambda a: ~F.coalesce(a["retryable"], F.lit(False)) | F.coalesce(a["retry_after"] > policy.longest_retry_after, F.lit(False)))
+    first = F.array_position(ends, True)
+    most = F.least(F.size(answers), F.lit(policy.retries + 1)).cast("long")
+    return F.when(first > 0, F.least(first, most)).otherwise(most)

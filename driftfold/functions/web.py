@@ -9,6 +9,7 @@ import html
 import ipaddress
 import re
 import unicodedata
+from contextlib import suppress
 from html.parser import HTMLParser
 from urllib.parse import quote, urljoin, urlsplit
 from urllib.robotparser import RobotFileParser
@@ -241,6 +242,38 @@ def robots_allow(rules: str | None, agent: str, url: str | None) -> bool:
     return parser.can_fetch(agent, url or "")
 
 
+CHARSET = re.compile(r"charset\s*=\s*[\"']?([^;\s\"']+)", re.IGNORECASE)
+
+
+def decoded(body: bytes, content_type: str | None) -> str:
+    """A body in the charset that its header names; UTF-8 with replacements where that is unknown or does not fit."""
+    named = CHARSET.search(content_type or "")
+    if named:
+        with suppress(LookupError, ValueError):
+            return body.decode(named.group(1))
+    return body.decode("utf-8", "replace")
+
+
+def crawl_delay(rules: str | None, agent: str) -> float | None:
+    """Seconds that robots rules ask the agent, or else everybody, to wait between requests."""
+    parser = RobotFileParser()
+    parser.parse((rules or "").splitlines())
+    # Without a date of reading the parser answers nothing.
+    parser.modified()
+    asked = [d for d in (parser.crawl_delay(agent), parser.crawl_delay("*")) if d is not None]
+    return max(0.0, float(asked[0])) if asked else None
+
+
+@F.pandas_udf(T.StringType())
+def decode_body(bodies: pd.Series, types: pd.Series) -> pd.Series:
+    return pd.Series([None if b is None else decoded(b, t) for b, t in zip(bodies, types, strict=True)], dtype=object)
+
+
+@F.pandas_udf(T.DoubleType())
+def robots_delay(rules: pd.Series, agents: pd.Series) -> pd.Series:
+    return pd.Series([crawl_delay(*x) for x in zip(rules, agents, strict=True)], dtype="float64")
+
+
 @F.pandas_udf(T.StringType())
 def publish_url(values: pd.Series) -> pd.Series:
     return values.map(published_url, na_action="ignore")

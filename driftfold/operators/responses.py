@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftfold.functions.scalars import any_of, fingerprint, lookup, profile_fingerprint
-from driftfold.functions.web import is_forbidden, may_read, read_page, resolve_chain
+from driftfold.functions.web import is_forbidden, may_read, read_page, resolve_chain, robots_delay
 from driftfold.schema import REDIRECT_STATUSES, RETRYABLE_STATUSES
 
 MOST_BYTES = 2_000_000
@@ -115,6 +115,16 @@ def with_robots(requests: DataFrame, robots: DataFrame, agent: str) -> DataFrame
     return joined.withColumn("exact_allowed", allowed).drop("rules")
 
 
+def robots_outcomes(answers: DataFrame, agent: str) -> DataFrame:
+    """answers (body, http_status, exact_allowed) with allowed and crawl_delay: what one robots file asks of the agent.
+
+    Only a file that was read can ask for a delay.
+    """
+    read = (F.col("http_status") == 200) & ~is_challenge(F.col("body"))
+    delay = robots_delay(F.when(read, F.col("body")), F.lit(agent))
+    return answers.withColumn("allowed", F.coalesce(robots_verdict(), F.lit(False))).withColumn("crawl_delay", F.when(read & ~F.isnan(delay), delay))
+
+
 def classify_pages(pages: DataFrame, body: str = "body") -> DataFrame:
     """pages with profile_status, blog_status, blog_url, blog_url_raw, check_result, error and source_fingerprint.
 

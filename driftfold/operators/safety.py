@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from driftfold.schema import PARSE_FAILURES, TRANSIENT_FAILURES, SafetyLimits
+from driftfold.schema import BOUNDARY_RUN, PARSE_FAILURES, TRANSIENT_FAILURES, SafetyLimits
 
 
 def _so_far(by: list[str]) -> Window:
@@ -113,3 +113,54 @@ def advance_state(rows: DataFrame, highest_attempted: int, highest_existing: int
         F.greatest(F.lit(highest_attempted), F.coalesce(F.max("id"), F.lit(0))).cast("long").alias("highest_attempted_id"),
         F.greatest(F.lit(highest_existing), F.coalesce(F.max(F.when(F.col("is_existing"), F.col("id"))), F.lit(0))).cast("long").alias("highest_confirmed_user_id"),
     )
+
+
+def next_cursor(probes: DataFrame, frontier: Column | int, sweep: int, cursor: int) -> DataFrame:
+    """One row: where the next sweep of the frontier goes on after committed probes (seq, id); back to its start at its end.
+
+    Without a probe the cursor stays.
+    """
+    start = F.lit(frontier) if isinstance(frontier, int) else frontier
+    after = F.max_by("id", "seq") + 1
+    wrapped = F.when(after >= start + sweep, start).otherwise(after)
+    return probes.agg(F.coalesce(wrapped, F.lit(cursor)).cast("long").alias("maintenance_cursor"))
+
+
+#: The state of a bootstrap walk: one struct that the fold below hands on.
+WALK = "struct<phase:string,next_id:bigint,start:bigint,missing:bigint,known:boolean,stop:string,last:bigint>"
+#: Why a bootstrap walk ends.
+BOUNDARY_STOPS = {"found": "boundary candidate found; independent pass required", "unclear": "boundary confirmation was inconclusive", "confirmed": "bootstrap boundary confirmed"}
+
+
+def bootstrap_walk(rows: DataFrame, by: list[str], start: Column, run: int = BOUNDARY_RUN) -> DataFrame:
+    """Where each batch (by, seq, id, is_existing, is_missing, clean) leaves the control state, starting from `start` (a WALK).
+
+    clean: the check was confirmed and all its answers were in order. While bootstrapping, `run` clean missing ids in
+    a row beyond a known user make a boundary candidate, and the batch ends there; while confirming one, each of its
+    ids must be clean and missing again: an existing one sends the walk back to bootstrapping, an unclear one ends
+    it for another try, and the last one finishes the bootstrap. Old rows of missing ids count for nothing: only
+    what this batch saw does. A batch is as long as its command's limit allows, so its rows fit into one value.
+    """
+    seen = F.when(F.col("clean") & F.col("is_existing"), "existing").when(F.col("clean") & F.col("is_missing"), "missing").otherwise("unclear")
+    steps = F.array_sort(F.collect_list(F.struct("seq", "id", seen.alias("seen"), F.col("is_existing").alias("exists"))))
+
+    def to(w: Column, **changed: Column) -> Column:
+        names = ("phase", "next_id", "start", "missing", "known", "stop", "last")
+        return F.struct(*[changed.get(n, w[n]).alias(n) for n in names]).cast(WALK)
+
+    def step(w: Column, r: Column) -> Column:
+        none, zero, onward = F.lit(None).cast("long"), F.lit(0).cast("long"), r["id"] + 1
+        common = {"known": w["known"] | r["exists"], "last": r["seq"]}
+        count = F.when((r["seen"] == "missing") & common["known"], w["missing"] + 1).otherwise(zero)
+        first = r["id"] - run + 1
+        stop = {name: F.lit(name) for name in BOUNDARY_STOPS}
+        confirming = (
+            F.when(r["seen"] == "existing", to(w, **common, phase=F.lit("bootstrap"), next_id=onward, start=none, missing=zero))
+            .when(r["seen"] == "unclear", to(w, **common, next_id=w["start"], stop=stop["unclear"]))
+            .when(r["id"] >= w["start"] + run - 1, to(w, **common, phase=F.lit("maintenance"), next_id=onward, start=none, missing=zero, stop=stop["confirmed"]))
+            .otherwise(to(w, **common, next_id=onward))
+        )
+        looking = F.when(count >= run, to(w, **common, phase=F.lit("boundary_confirmation"), next_id=first, start=first, missing=count, stop=stop["found"])).otherwise(to(w, **common, next_id=onward, missing=count))
+        return F.when(w["stop"].isNotNull(), w).when(w["phase"] == "boundary_confirmation", confirming).otherwise(looking)
+
+    return rows.groupBy(*by).agg(F.aggregate(steps, start.cast(WALK), step).alias("w")).select(*by, "w.*")

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from driftfold.functions.scalars import normalize_url, profile_fingerprint
+from driftfold.functions.scalars import normalize_url, profile_fingerprint, sanitize_error
 from driftfold.operators.schedule import coverage_gaps
 from driftfold.operators.views import summary
 from driftfold.schema import BLOG_STATUSES, CHANGE_KINDS, CHECK_RESULTS, ERROR_LENGTH, HEALTHY, LINK_STATUSES, PERSONAL_FIELDS, PHASE_STATUSES, PROFILE_STATUSES, URL_LENGTH, USER_COLUMNS
@@ -191,19 +191,70 @@ def validate_runs(runs: DataFrame) -> DataFrame:
     return issues(runs, checks, c("run_id"), F.lit(None))
 
 
+def _snapshot_faults(side: str, blog: Column) -> list[Column]:
+    """Rules of one side of a blog event: exactly a status and a URL, and a URL just where there is a blog."""
+    value = F.col(f"{side}_value")
+    status, url = F.get_json_object(value, "$.status"), F.get_json_object(value, "$.url")
+    shaped = F.coalesce(F.array_sort(F.json_object_keys(value)) == F.array(F.lit("status"), F.lit("url")), F.lit(False))
+    return [
+        issue(blog & ~shaped, "change_value", f"{side} value must hold a status and a URL"),
+        issue(blog & shaped & ~F.coalesce(status.isin(*BLOG_STATUSES), F.lit(False)), "change_value", f"{side} status is outside its closed set"),
+        issue(blog & shaped & ((status == "present") != url.isNotNull()), "change_value", f"{side} URL does not fit its status"),
+    ]
+
+
 def validate_changes(changes: DataFrame) -> DataFrame:
-    """Legal transitions of change events."""
+    """Values and legal transitions of change events. A profile event's value is a JSON text, a blog event's an object."""
     c = F.col
+    kind = c("kind")
+    profile, blog = kind == "profile_status", F.startswith(kind, F.lit("blog_"))
     old, new = F.get_json_object("old_value", "$.status"), F.get_json_object("new_value", "$.status")
+    was, is_now = old == "present", new == "present"
+    quoted = [f'"{s}"' for s in PROFILE_STATUSES]
     checks = [
-        issue(~c("kind").isin(*CHANGE_KINDS), "change_kind", "kind is outside its closed set"),
+        issue(~kind.isin(*CHANGE_KINDS), "change_kind", "kind is outside its closed set"),
+        issue(c("user_id") < 1, "change_user", "a change belongs to a positive id"),
         issue(c("old_value") == c("new_value"), "change_same", "a change must change something"),
-        issue((c("kind") == "blog_added") & ((old == "present") | (new != "present")), "change_transition", "blog_added goes from no blog to a blog"),
-        issue((c("kind") == "blog_removed") & ((old != "present") | (new != "absent")), "change_transition", "blog_removed goes from a blog to none"),
+        issue(profile & ~F.coalesce(c("old_value").isin(*quoted) & c("new_value").isin(*quoted), F.lit(False)), "change_value", "profile values must be in their closed set"),
+        *_snapshot_faults("old", blog),
+        *_snapshot_faults("new", blog),
+        issue((kind == "blog_added") & (was | ~is_now), "change_transition", "blog_added goes from no blog to a blog"),
+        issue((kind == "blog_removed") & (~was | (new != "absent")), "change_transition", "blog_removed goes from a blog to none"),
+        issue((kind == "blog_changed") & ((~was & is_now) | (was & (new == "absent"))), "change_transition", "blog_changed neither adds nor removes a blog"),
     ]
+    if "run_id" in changes.columns:
+        checks.append(issue(F.trim("run_id") == "", "change_run", "run_id must not be blank"))
     return issues(changes, checks, c("event_id"), c("user_id"))
 
 
+def tidy_observations(rows: DataFrame) -> DataFrame:
+    """Observations in the form in which they are kept: canonical URL, no blank raw URL, clean error text, own fingerprint."""
+    claim = profile_fingerprint(F.col("profile_status"), F.col("blog_status"), F.col("blog_url"))
+    ok = F.col("check_result") == "ok"
+    tidy = rows.withColumns({"blog_url": normalize_url(F.col("blog_url")), "blog_url_raw": F.nullif(F.trim("blog_url_raw"), F.lit("")), "error": sanitize_error(F.col("error"))})
+    return tidy.withColumn("source_fingerprint", F.when(ok, claim).otherwise(F.col("source_fingerprint")))
+
+
+def validate_observations(rows: DataFrame) -> DataFrame:
+    """What may be observed: closed sets for all, and for a successful check a claim that makes sense."""
+    c = F.col
+    profile, blog, url, raw, result = c("profile_status"), c("blog_status"), c("blog_url"), c("blog_url_raw"), c("check_result")
+    ok, public = result == "ok", profile == "public"
+    checks = [
+        issue(~F.coalesce(c("user_id") >= 1, F.lit(False)), "observation_user", "user_id must be positive"),
+        issue(~F.coalesce(profile.isin(*PROFILE_STATUSES) & blog.isin(*BLOG_STATUSES) & result.isin(*CHECK_RESULTS), F.lit(False)), "observation_value", "a field is outside its closed set"),
+        issue(url.isNotNull() & normalize_url(url).isNull(), "observation_url", "blog_url must be an HTTP(S) URL"),
+        issue(~F.coalesce(F.rlike(c("parser_version"), F.lit(VERSION)), F.lit(False)), "observation_version", "parser_version is unsafe or too long"),
+        issue((F.length(url) > URL_LENGTH) | (F.length(raw) > URL_LENGTH), "observation_length", "a URL is too long"),
+        issue(ok & public & (blog == "unknown"), "observation_claim", "a public profile shows whether it has a blog"),
+        issue(ok & public & (blog == "present") & url.isNull(), "observation_claim", "a present blog has a URL"),
+        issue(ok & public & (blog == "absent") & (url.isNotNull() | raw.isNotNull()), "observation_claim", "an absent blog has no URL"),
+        issue(ok & profile.isin("hidden", "missing") & ((blog != "unknown") | url.isNotNull()), "observation_claim", "hidden and missing profiles show no blog"),
+        issue(ok & (profile == "unknown"), "observation_claim", "a successful check knows the profile's status"),
+    ]
+    return issues(rows, checks, F.lit("observations"), c("user_id"))
+
+
 def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 

@@ -59,6 +59,49 @@ OBSERVATION_COLUMNS = {
     "source_fingerprint": "string",
     "user_id": "bigint",
 }
+#: The public summary and the control row, as one JSON object each; what a missing file stands for.
+MANIFEST_COLUMNS = {
+    "blog_count": "bigint",
+    "generated_at": "timestamp_ntz",
+    "highest_attempted_id": "bigint",
+    "highest_confirmed_user_id": "bigint",
+    "highest_existing_user_id": "bigint",
+    "initialization_status": "string",
+    "last_successful_run_at": "timestamp_ntz",
+    "phase": "string",
+    "profile_status_counts": "struct<hidden:bigint,missing:bigint,public:bigint,unknown:bigint>",
+    "record_count": "bigint",
+    "schema_version": "bigint",
+    "updated_at": "timestamp_ntz",
+}
+STATE_COLUMNS = {
+    "boundary_candidate_start": "bigint",
+    "boundary_confirmation_pending": "boolean",
+    "consecutive_missing_after_frontier": "bigint",
+    "highest_attempted_id": "bigint",
+    "highest_confirmed_user_id": "bigint",
+    "last_run_id": "string",
+    "maintenance_cursor": "bigint",
+    "next_id": "bigint",
+    "paused_from_phase": "string",
+    "phase": "string",
+    "schema_version": "bigint",
+    "updated_at": "timestamp_ntz",
+}
+MANIFEST_DEFAULTS = {"initialization_status": "not_started", "phase": "bootstrap", "schema_version": 1}
+STATE_DEFAULTS = {"boundary_confirmation_pending": False, "maintenance_cursor": 1, "next_id": 1, "phase": "bootstrap", "schema_version": 1}
+HEALTH_COLUMNS = {
+    "attempts": "bigint",
+    "checked_at": "timestamp_ntz",
+    "consecutive_failures": "bigint",
+    "error": "string",
+    "failure_confirmed": "boolean",
+    "final_url": "string",
+    "http_status": "int",
+    "redirect_count": "bigint",
+    "status": "string",
+    "url": "string",
+}
 EVENT = "struct<at:timestamp_ntz,kind:string,old_status:string,old_url:string,new_status:string,new_url:string>"
 
 
@@ -88,6 +131,25 @@ class SafetyLimits:
     mass_ratio: float = 0.25
 
 
+@dataclass(frozen=True)
+class RetryPolicy:
+    """Waiting between attempts, in seconds."""
+
+    attempts: int = 3
+    base: float = 3.0
+    cap: float = 60.0
+    longest_retry_after: float = 120.0
+
+
+@dataclass(frozen=True)
+class LinkPolicy:
+    """Attempts at a link, waits in seconds."""
+
+    retries: int = 1
+    base: float = 0.5
+    longest_retry_after: float = 10.0
+
+
 SHARD_SIZE = 1000
 BOUNDARY_RUN = 256
 CONFIRMATIONS = 2
