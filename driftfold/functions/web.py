@@ -9,6 +9,8 @@ import html
 import ipaddress
 import re
 import unicodedata
+from bisect import bisect, bisect_left
+from collections import Counter
 from contextlib import suppress
 from html.parser import HTMLParser
 from urllib.parse import quote, urljoin, urlsplit
@@ -29,26 +31,39 @@ MISSING_TEXT = "用户不存在!"
 HIDDEN_TEXT = "此用户的个人主页未公开!"
 FIELD_LABEL = re.compile(r"\s*博客\s*[：:]\s*")
 EMPTY_FIELD = "暂无"
+FIELD_TAGS = ("li", "dd", "tr", "p")
 PLAIN_URL = re.compile(r"https?://\S+", re.IGNORECASE)
 DEFAULT_PORT = {"http": 80, "https": 443}
 
 
+#: What the ASCII name of a host on the public Internet meets, by rule.
+HOST_RULES = {
+    "length": lambda name: len(name) <= 253,
+    "domain": lambda name: "." in name,
+    "labels": lambda name: all(map(HOST_LABEL.fullmatch, name.split("."))),
+    "top level": lambda name: not name.rpartition(".")[2].isdigit(),
+    "reach": lambda name: not name.endswith(PRIVATE_ENDINGS),
+}
+
+
+def host_faults(name: str) -> list[str]:
+    """The rules that a host's ASCII name breaks."""
+    return [rule for rule, holds in HOST_RULES.items() if not holds(name)]
+
+
+def _address(text: str) -> ipaddress.IPv4Address | ipaddress.IPv6Address | None:
+    with suppress(ValueError):
+        return ipaddress.ip_address(text)
+
+
 def _public_host(host: str) -> str | None:
     """ASCII form of a host that is on the public Internet, else None."""
-    host = host.rstrip(".").lower()
-    try:
-        address = ipaddress.ip_address(host)
-    except ValueError:
-        address = None
-    if address is not None:
+    plain = host.rstrip(".").lower()
+    if (address := _address(plain)) is not None:
         return address.compressed if address.is_global else None
-    try:
-        name = host.encode("idna").decode("ascii").lower()
-    except UnicodeError:
-        return None
-    labels = name.split(".")
-    public = len(labels) > 1 and not name.endswith(PRIVATE_ENDINGS) and len(name) <= 253
-    return name if public and all(map(HOST_LABEL.fullmatch, labels)) and not labels[-1].isdigit() else None
+    with suppress(UnicodeError):
+        name = plain.encode("idna").decode("ascii").lower()
+        return None if host_faults(name) else name
 
 
 def _assembled(scheme: str, host: str, port: int | None, path: str, query: str, fragment: str) -> str:
@@ -127,103 +142,131 @@ def visible(text: str) -> str:
     return " ".join(unicodedata.normalize("NFKC", text).split())
 
 
-class _Node:
-    __slots__ = ("children", "href", "tag")
-
-    def __init__(self, tag: str, href: str | None = None):
-        self.tag, self.href, self.children = tag, href, []
-
-    def strings(self):
-        for child in self.children:
-            if isinstance(child, str):
-                if text := child.strip():
-                    yield text
-            else:
-                yield from child.strings()
-
-    def nodes(self):
-        for child in self.children:
-            if isinstance(child, _Node):
-                yield child
-                yield from child.nodes()
+class _Page(HTMLParser):
+    """The elements as written, in one pass and without recursion: an end tag closes the nearest open element of its name, or nothing.
 
-    def text(self) -> str:
-        return " ".join(self.strings())
-
-
-class _Tree(HTMLParser):
-    """A tree of the elements as written: an end tag closes the nearest open element of its name, or nothing."""
+    strings: all visible text, stripped, in order. Element i covers strings first[i] to last[i] and holds the elements
+    from i + 1 to end[i].
+    """
 
     VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-    DEEPEST = 400
+    SILENT = ("script", "style", "template")
 
-    def __init__(self) -> None:
+    def __init__(self, page: str) -> None:
         super().__init__(convert_charrefs=True)
-        self.root = _Node("")
-        self.open = [self.root]
+        self.strings: list[str] = []
+        self.tags, self.first, self.last, self.end = [], [], [], []
+        self.hrefs: dict[int, str] = {}
+        self.open: list[int] = []
+        self.open_tags: Counter[str] = Counter()
+        self.feed(page)
+        self.close()
+        while self.open:
+            self._shut()
+
+    def _shut(self) -> str:
+        i = self.open.pop()
+        self.last[i], self.end[i] = len(self.strings), len(self.tags)
+        self.open_tags[self.tags[i]] -= 1
+        return self.tags[i]
 
     def handle_starttag(self, tag, attrs):
-        node = _Node(tag, next((value or "" for name, value in attrs if name == "href"), None))
-        self.open[-1].children.append(node)
-        if tag not in self.VOID and len(self.open) < self.DEEPEST:
-            self.open.append(node)
+        href = next((value or "" for name, value in attrs if name == "href"), None)
+        if href is not None:
+            self.hrefs[len(self.tags)] = href
+        self.open.append(len(self.tags))
+        self.open_tags[tag] += 1
+        self.tags.append(tag)
+        self.first.append(len(self.strings))
+        self.last.append(0)
+        self.end.append(0)
+        if tag in self.VOID:
+            self._shut()
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if self.open[-1].tag == tag and tag not in self.VOID:
-            self.open.pop()
+        if tag not in self.VOID:
+            self._shut()
 
     def handle_endtag(self, tag):
-        for depth in range(len(self.open) - 1, 0, -1):
-            if self.open[depth].tag == tag:
-                del self.open[depth:]
-                return
+        if self.open_tags[tag]:
+            while self._shut() != tag:
+                pass
 
     def handle_data(self, data):
-        if self.open[-1].tag not in ("script", "style", "template"):
-            self.open[-1].children.append(data)
-
-
-def _field(container: _Node) -> tuple[str, str | None, str | None]:
-    """(status, raw value, canonical URL) of one labelled element."""
-    text = visible(container.text())
-    anchors = [n for n in container.nodes() if n.tag == "a" and n.href is not None]
-    if len(anchors) > 1:
-        return "unknown", None, None
-    if anchors:
-        href = anchors[0].href.strip()
-        inner = next((n.text() for n in anchors[0].nodes() if n.tag == "bdi"), "")
-        raw = inner or anchors[0].text() or href
-        target = published_url(href)
-        shown = raw.strip()
-        if target and not urlsplit(shown).scheme:
-            shown = f"{target.partition(':')[0]}://{shown}"
-        if target is None or published_url(shown) != target:
-            return "unknown", raw or None, None
-        return "present", raw, target
-    rest = text[FIELD_LABEL.match(text).end() :].strip()
-    if rest == EMPTY_FIELD:
-        return "absent", None, None
-    if PLAIN_URL.fullmatch(rest):
-        target = published_url(rest)
-        return ("present" if target else "unknown"), rest, target
-    return "unknown", rest or None, None
+        inside = self.tags[self.open[-1]] if self.open else ""
+        if inside not in self.SILENT and (text := data.strip()):
+            self.strings.append(text)
+
+    def text(self, i: int) -> str:
+        return " ".join(self.strings[self.first[i] : self.last[i]])
+
+    def among(self, places: list[int], i: int) -> list[int]:
+        """Those of the sorted places that lie in element i."""
+        return places[bisect(places, i) : bisect_left(places, self.end[i])]
+
+
+#: Strings that may make up a label, and distinct fields after which a page is ambiguous whatever else it holds.
+LABEL_STRINGS, FIELDS = 3, 3
+
+
+def link_facts(page: _Page, link: int, names: list[int]) -> dict:
+    """What a field's only link shows and where it leads: `target` only if the shown text, with its scheme added, leads there too."""
+    href = page.hrefs[link].strip()
+    marked = page.among(names, link)
+    raw = (page.text(marked[0]) if marked else "") or page.text(link) or href
+    target, agrees = published_url(href), False
+    # Shown text that no URL can be made of agrees with nothing.
+    with suppress(ValueError):
+        bare = target is not None and not urlsplit(raw.strip()).scheme
+        shown = f"{urlsplit(target).scheme}://{raw.strip()}" if bare else raw
+        agrees = target is not None and published_url(shown) == target
+    return {"raw": raw, "target": target if agrees else None}
+
+
+def field_facts(page: _Page) -> list[dict]:
+    """Distinct labelled fields (links, raw, target, rest, plain), FIELDS at most; what they mean is decided elsewhere.
+
+    links: how many the field has. raw and target are those of its only link. Without links: rest is the text after
+    the label, and plain its canonical URL if it is one.
+    """
+    links = [i for i in sorted(page.hrefs) if page.tags[i] == "a"]
+    names = [i for i, tag in enumerate(page.tags) if tag == "bdi"]
+    labelled: dict[tuple, bool] = {}
+    found: dict[tuple, dict] = {}
+    for i, tag in enumerate(page.tags):
+        if tag not in FIELD_TAGS:
+            continue
+        # Nested elements start with the same strings: these are looked at once.
+        head = (page.first[i], min(page.last[i], page.first[i] + LABEL_STRINGS))
+        if head not in labelled:
+            labelled[head] = bool(FIELD_LABEL.match(visible(" ".join(page.strings[slice(*head)]))))
+        if not labelled[head]:
+            continue
+        own = page.among(links, i)
+        facts = {"links": len(own), "raw": None, "target": None, "rest": None, "plain": None}
+        if len(own) == 1:
+            facts |= link_facts(page, own[0], names)
+        elif own:
+            facts["links"] = 2
+        else:
+            facts["rest"] = FIELD_LABEL.sub("", visible(page.text(i)), count=1).strip()
+            facts["plain"] = published_url(facts["rest"]) if PLAIN_URL.fullmatch(facts["rest"]) else None
+        found[tuple(facts.values())] = facts
+        if len(found) == FIELDS:
+            break
+    return list(found.values())
 
 
 def page_facts(page: str | None) -> dict:
     """What classification needs of a page: its labelled fields, whether a state marker shows, title and text."""
-    tree = _Tree()
-    tree.feed(page or "")
-    tree.close()
-    nodes = list(tree.root.nodes())
-    labelled = [n for tag in ("li", "dd", "tr", "p") for n in nodes if n.tag == tag and FIELD_LABEL.match(visible(n.text()))]
-    fields = [dict(zip(("status", "raw", "url"), _field(n), strict=True)) for n in labelled]
-    texts = [visible(s) for s in tree.root.strings()]
-    title = next((visible(n.text()).lower() for n in nodes if n.tag == "title"), "")
-    return {"fields": fields, "missing": MISSING_TEXT in texts, "hidden": HIDDEN_TEXT in texts, "title": title, "text": " ".join(texts)}
-
-
-_FIELD = T.StructType([T.StructField(name, T.StringType()) for name in ("status", "raw", "url")])
+    parsed = _Page(page or "")
+    texts = [visible(s) for s in parsed.strings]
+    title = visible(parsed.text(parsed.tags.index("title"))).lower() if "title" in parsed.tags else ""
+    return {"fields": field_facts(parsed), "missing": MISSING_TEXT in texts, "hidden": HIDDEN_TEXT in texts, "title": title, "text": " ".join(texts)}
+
+
+_FIELD = T.StructType([T.StructField("links", T.IntegerType()), *[T.StructField(name, T.StringType()) for name in ("raw", "target", "rest", "plain")]])
 FACTS = T.StructType(
     [
         T.StructField("fields", T.ArrayType(_FIELD)),

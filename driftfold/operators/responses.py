@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from driftfold.functions.scalars import any_of, fingerprint, lookup, profile_fingerprint
-from driftfold.functions.web import is_forbidden, may_read, read_page, resolve_chain, robots_delay
+from driftfold.functions.web import EMPTY_FIELD, is_forbidden, may_read, read_page, resolve_chain, robots_delay
 from driftfold.schema import REDIRECT_STATUSES, RETRYABLE_STATUSES
 
 MOST_BYTES = 2_000_000
@@ -125,6 +125,18 @@ def robots_outcomes(answers: DataFrame, agent: str) -> DataFrame:
     return answers.withColumn("allowed", F.coalesce(robots_verdict(), F.lit(False))).withColumn("crawl_delay", F.when(read & ~F.isnan(delay), delay))
 
 
+def field_meaning(f: Column) -> Column:
+    """(status, raw, url) of one labelled field's facts."""
+    told, given = F.nullif(f["rest"], F.lit("")), F.nullif(f["raw"], F.lit(""))
+    status = (
+        F.when(f["target"].isNotNull() | f["plain"].isNotNull(), "present")
+        .when((f["links"] == 0) & (f["rest"] == EMPTY_FIELD), "absent")
+        .otherwise("unknown")
+    )
+    raw = F.when(status == "absent", F.lit(None)).otherwise(F.coalesce(given, told))
+    return F.struct(status.alias("status"), raw.alias("raw"), F.coalesce(f["target"], f["plain"]).alias("url"))
+
+
 def classify_pages(pages: DataFrame, body: str = "body") -> DataFrame:
     """pages with profile_status, blog_status, blog_url, blog_url_raw, check_result, error and source_fingerprint.
 
@@ -134,7 +146,7 @@ def classify_pages(pages: DataFrame, body: str = "body") -> DataFrame:
     f = F.col("f")
     low, text = F.lower(F.coalesce(F.col(body), F.lit(""))), F.lower(f["text"])
     challenge = _has_any(low, CHALLENGE_MARKS) | f["title"].isin(*CHALLENGE_TITLES) | (F.contains(text, F.lit(HUMAN_TEXT)) & _has_any(low, CHALLENGE_WORDS))
-    fields = F.array_distinct(f["fields"])
+    fields = F.array_distinct(F.transform(f["fields"], field_meaning))
     one = F.try_element_at(fields, F.lit(1))
     case = (
         F.when((F.size(fields) == 0) & f["missing"], "missing")

@@ -72,6 +72,15 @@ def test_public_addresses_and_checked_urls():
     assert web.resolved("https://a.example/", "ftp://b.example/") is None
 
 
+def test_host_rules():
+    assert web.host_faults("a.example") == []
+    assert web.host_faults("localhost") == ["domain"]
+    assert web.host_faults("a.local") == ["reach"]
+    assert web.host_faults("a.1") == ["top level"]
+    assert web.host_faults("-a.example") == ["labels"]
+    assert "length" in web.host_faults(".".join(["a" * 60] * 5))
+
+
 LINK = '<li>博客：<a href="https://blog.example/">{}</a></li>'
 
 
@@ -91,6 +100,13 @@ LINK = '<li>博客：<a href="https://blog.example/">{}</a></li>'
         ("<p>verify you are human</p><script>captcha</script>", "unknown", "unknown", None, "parse_error"),
         (f"<p>{web.MISSING_TEXT}</p><li>博客: 暂无</li>", "public", "absent", None, "ok"),
         ("nothing here", "unknown", "unknown", None, "parse_error"),
+        ("<li>博客：<span>暂无</li>" + LINK.format("blog.example") + "<p>博客：</p>", "unknown", "unknown", None, "parse_error"),
+        ("<b>" * 5_000 + "<li><i>博客</i><i>：</i><i>暂无" + "</u>" * 5_000, "public", "absent", None, "ok"),
+        ("<p>" * 20_000 + "博客：https://deep.example/", "public", "present", "https://deep.example/", "ok"),
+        ("<p>博客：" * 20_000, "unknown", "unknown", None, "parse_error"),
+        (LINK.format("blog.example 博客："), "unknown", "unknown", None, "parse_error"),
+        ("<li>博客：<a href='http://[a'>http://[a</a></li>", "unknown", "unknown", None, "parse_error"),
+        (LINK.format("") + LINK.format("https://blog.example/"), "public", "present", "https://blog.example/", "ok"),
         ("", "unknown", "unknown", None, "parse_error"),
         (None, "unknown", "unknown", None, "parse_error"),
     ],
