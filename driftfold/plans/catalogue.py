@@ -480,25 +480,63 @@ def q_validate_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate.manifest_mismatches(rows, manifest)
 
 
-@query("""select * from (values ('state_frontier', 'error'), ('state_boundary', 'error'), ('state_boundary', 'error'), ('state_pause', 'error'), ('state_next_id', 'warning'), ('state_boundary_range', 'error'),
-    ('state_dataset_mismatch', 'error'), ('state_dataset_mismatch', 'error'), ('state_manifest_mismatch', 'error'), ('state_manifest_mismatch', 'error'), ('state_manifest_mismatch', 'error'), ('state_manifest_status', 'error')) t(code, severity)""")
+STATE_RULES_SQL = {
+    "state_frontier": ["confirmed > attempted"],
+    "state_boundary": ["pending and candidate is null", "bounding and (candidate is null or not pending)", "not bounding and (candidate is not null or pending)"],
+    "state_pause": ["phase = 'paused' and paused_from is null", "phase <> 'paused' and paused_from is not null"],
+    "state_next_id": ["next_id <= confirmed"],
+    "state_boundary_range": ["candidate < 1", "candidate > attempted"],
+    "state_dataset_mismatch": ["attempted <> highest_attempted_id", "confirmed <> highest_existing_user_id"],
+    "state_next_id_gap": ["next_id > highest_attempted_id + 1"],
+    "state_manifest_mismatch": ["attempted <> highest_attempted_id", "confirmed <> highest_confirmed_user_id", "phase <> m_phase"],
+    "state_manifest_status": [
+        "not ((phase = 'bootstrap' and status in ('not_started', 'in_progress')) or (phase = 'boundary_confirmation' and status = 'in_progress') or (phase = 'maintenance' and status = 'complete') or (phase = 'paused' and status = 'paused'))",
+        "status = 'not_started'",
+    ],
+}
+
+
+@query(f"""with {A.USERS_SQL}, s as ({SUMMARY_SQL}),
+    o as (select *, ['bootstrap', 'boundary_confirmation', 'maintenance', 'paused'][o_orderkey % 4 + 1] as phase, case when o_orderkey % 5 > 0 then ['maintenance', 'boundary_confirmation', 'bootstrap'][o_orderkey % 3 + 1] end as paused_from,
+        highest_attempted_id - o_orderkey % 2 as attempted, highest_existing_user_id + case when o_orderkey % 7 = 0 then 5000 else 0 end as confirmed, case o_orderkey % 11 when 0 then 0 when 1 then highest_attempted_id + 100 else highest_attempted_id + 1 end as next_id,
+        case o_orderkey % 6 when 0 then null when 1 then -1 when 2 then 1000000000 else 5 end as candidate, o_orderkey // 2 % 2 = 0 as pending from orders, s),
+    p as (select *, phase = 'boundary_confirmation' or coalesce(phase = 'paused' and paused_from = 'boundary_confirmation', false) as bounding from o, (values ('maintenance', 'complete'), ('bootstrap', 'not_started')) t(m_phase, status)),
+    f as (select unnest([{", ".join(f"case when {rule} then '{code}' end" for code, rules in STATE_RULES_SQL.items() for rule in rules)}]) as code from p)
+    select code, case when code = 'state_next_id' then 'warning' else 'error' end as severity, count(*) as n from f where code is not null group by code""")
 def q_validate_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A control row that breaks most rules against a sound manifest."""
+    """Control rows of all mixes of sound and unsound fields, one for each order, against two manifests."""
     rows = A.users(spark, sf_dir)
-    state = spark.createDataFrame([("bootstrap", "maintenance", 5, 9, 3, 0, True)], "phase string, paused_from_phase string, highest_attempted_id long, highest_confirmed_user_id long, next_id long, boundary_candidate_start long, boundary_confirmation_pending boolean")
-    state = state.withColumn("boundary_candidate_start", F.lit(None).cast("long")).unionByName(state.withColumn("phase", F.lit(None).cast("string")).limit(0))
-    manifest = views.summary(rows).withColumn("phase", F.lit("maintenance")).withColumn("initialization_status", F.lit("complete"))
-    first = validate.validate_state(state, manifest, rows)
-    low = spark.createDataFrame([("paused", "boundary_confirmation", 0, True)], "phase string, paused_from_phase string, boundary_candidate_start long, boundary_confirmation_pending boolean")
-    top = views.summary(rows).select("highest_attempted_id", "highest_confirmed_user_id", (F.col("highest_attempted_id") + 1).alias("next_id"))
-    second = validate.validate_state(low.crossJoin(top), manifest.withColumn("phase", F.lit("paused")).withColumn("initialization_status", F.lit("paused")), rows)
-    return first.unionByName(second).select("code", "severity")
-
-
-@query(f"""with {A.HEALTH_SQL}, h as (select *, case when well then null else status end as error from health)
-    select url, 'health_confirmed' as code from h where not well and failure_confirmed <> (consecutive_failures >= 2)""")
+    key, top = F.col("o_orderkey"), F.col("highest_attempted_id")
+    pick = lambda n, *values: F.element_at(F.array(*map(F.lit, values)), (n % len(values) + 1).cast("int"))
+    state = A.table(spark, sf_dir, "orders").crossJoin(F.broadcast(views.summary(rows))).select(
+        pick(key, "bootstrap", "boundary_confirmation", "maintenance", "paused").alias("phase"), F.when(key % 5 > 0, pick(key, "maintenance", "boundary_confirmation", "bootstrap")).alias("paused_from_phase"),
+        (top - key % 2).alias("highest_attempted_id"), (F.col("highest_existing_user_id") + F.when(key % 7 == 0, 5000).otherwise(0)).alias("highest_confirmed_user_id"),
+        F.when(key % 11 == 0, 0).when(key % 11 == 1, top + 100).otherwise(top + 1).alias("next_id"), pick(key, None, -1, 1_000_000_000, 5, 5, 5).cast("long").alias("boundary_candidate_start"), (F.floor(key / 2) % 2 == 0).alias("boundary_confirmation_pending"),
+    )
+    each = F.explode(F.array(*[F.struct(F.lit(phase).alias("phase"), F.lit(status).alias("initialization_status")) for phase, status in (("maintenance", "complete"), ("bootstrap", "not_started"))]))
+    manifests = views.summary(rows).withColumn("m", each).select("*", "m.*").drop("m")
+    return validate.validate_state(state, manifests, rows).groupBy("code", "severity").agg(F.count("*").alias("n"))
+
+
+#: What is planted in the health row of each nation: field, value, and the codes that must come of it.
+HEALTH_FAULTS = {
+    0: ("redirect_count", 2, ["health_redirects"]), 1: ("redirect_count", 0, ["health_redirects"]), 2: ("attempts", 0, ["health_attempts"]), 3: ("http_status", 200, ["health_http_status"]),
+    4: ("consecutive_failures", 0, ["health_failures"]), 5: ("error", " ", ["health_error"]), 6: ("http_status", 500, ["health_http_status"]), 7: ("http_status", 404, ["health_http_status"]), 8: ("http_status", 304, ["health_healthy"]),
+    9: ("error", "x", ["health_healthy"]), 10: ("failure_confirmed", False, ["health_confirmed"]), 11: ("error", "x" * 501, ["health_error"]), 12: ("redirect_count", -1, ["health_redirects"]), 13: ("consecutive_failures", -1, ["health_failures"] * 2),
+    14: ("final_url", "https://x.example", ["health_final_url"]), 15: ("status", "odd", ["health_status"]), 16: ("consecutive_failures", 1, ["health_healthy"]), 17: ("final_url", None, ["health_healthy"]), 18: ("final_url", "http://127.0.0.1/", []),
+    19: ("url", "http://127.0.0.1/", ["health_url"]), 20: ("http_status", 99, ["health_http_status"] * 2), 21: ("final_url", "http://127.0.0.1/", ["health_final_url"]), 22: ("http_status", 403, ["health_http_status"]),
+}
+
+
+@query(f"""select case when n = 19 then 'http://127.0.0.1/' else 'https://b' || n || '.example/' end as url, code
+    from nation join (values {", ".join(f"({n}, '{code}')" for n, (_, _, codes) in HEALTH_FAULTS.items() for code in codes)}) t(n, code) on n = n_nationkey""")
 def q_health_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return validate.validate_health(A.health(spark, sf_dir)).select("url", "code")
+    """Sound health rows with one fault planted in each of the first nations."""
+    rows = A.health(spark, sf_dir).withColumn("n", F.regexp_extract("url", "[0-9]+", 0).cast("int")).withColumn("failure_confirmed", F.col("consecutive_failures") >= 2)
+    planted = {}
+    for n, (field, value, _) in HEALTH_FAULTS.items():
+        planted[field] = F.when(F.col("n") == n, F.lit(value)).otherwise(planted.get(field, F.col(field)))
+    return validate.validate_health(rows.withColumns(planted)).select("url", "code")
 
 
 @query("""with k as (select event_id, json_keys(props) as ks from events)
