@@ -557,8 +557,10 @@ def _crossing(table: DataFrame, labels: DataFrame, neighbours: bool) -> DataFram
             cut = start[at : at + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array(v) for v in (a[cut], b[cut], x[cut], y[cut], met[at : at + 100_000])], names=["a", "b", "n", "m", "met"])
 
-    labelled = with_labels(table.select("region", "id", "n"), labels, "id", "label").withColumn("bucket", F.shiftright("region", 32).cast("int"))
-    found = labelled.groupBy("bucket").applyInArrow(pairs, "a long, b long, n long, m long, met long")
+    # A region of very many sets is dealt to shares of about SALT, each with neighbours of its own; all pairs need it whole.
+    share = F.pmod(F.xxhash64("id"), F.ceil(F.col("size") / SALT)).cast("int") if neighbours else F.lit(0)
+    labelled = with_labels(table.select("region", "id", "n", "size"), labels, "id", "label").select("region", "id", "n", "label", F.shiftright("region", 32).cast("int").alias("bucket"), share.alias("share"))
+    found = labelled.groupBy("bucket", "share").applyInArrow(pairs, "a long, b long, n long, m long, met long")
     return found.groupBy("a", "b").agg(F.min("n").alias("n"), F.min("m").alias("m"), F.sum("met").alias("met"))
 
 
