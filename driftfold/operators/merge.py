@@ -10,6 +10,8 @@ so that no task ever holds more than a chunk of one entity.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -128,20 +130,32 @@ def fold_observations(obs: DataFrame, users: DataFrame | None = None, chunk: int
 
     rules: confirm_changes, required. Times count in whole seconds: two sightings in one second are not independent.
     """
+    return fold_over(obs, None if users is None else starting_states(users), chunk, **rules)
+
+
+def fold_over(obs: DataFrame, state: DataFrame | None, chunk: int = CHUNK, **rules) -> DataFrame:
+    """fold_observations over states (user_id, state) as this returns them.
+
+    Entities of more than `chunk` observations are folded by themselves, in rounds that are written once, by number.
+    """
+    spark = obs.sparkSession
     obs = obs.withColumn("observed_at", F.date_trunc("second", "observed_at").cast("timestamp_ntz"))
     if "source_fingerprint" not in obs.columns:
         obs = obs.withColumn("source_fingerprint", F.when(F.col("check_result") == "ok", profile_fingerprint(F.col("profile_status"), F.col("blog_status"), F.col("blog_url"))))
-    state = None if users is None else starting_states(users)
-    most = obs.groupBy("user_id").count().agg(F.max("count")).collect()[0][0] or 0
-    if most <= chunk:
+    hot = obs.groupBy("user_id").count().where(F.col("count") > chunk).select("user_id")
+    if hot.isEmpty():
         return _fold_once(obs, state, **rules)
-    shared_folder(obs.sparkSession)
+    part = lambda df, how: df and df.join(hot, "user_id", how)
+    path = f"{shared_folder(spark)}/driftfold/rounds-{uuid.uuid4().hex}"
     order = Window.partitionBy("user_id").orderBy("observed_at", "seq")
-    dealt = obs.withColumn("round", F.floor((F.row_number().over(order) - 1) / chunk))
-    for n in range(-(-most // chunk)):
+    dealt = part(obs, "left_semi").withColumn("round", F.floor((F.row_number().over(order) - 1) / chunk))
+    dealt.write.partitionBy("round").parquet(path)
+    rounds = spark.read.parquet(path)
+    folded = part(state, "left_semi")
+    for n in range(rounds.agg(F.max("round")).first()[0] + 1):
         # Each round is cut from the last one's plan: it would be recomputed once a round otherwise.
-        state = _fold_once(dealt.where(F.col("round") == n), state, **rules).checkpoint()
-    return state
+        folded = _fold_once(rounds.where(F.col("round") == n), folded, **rules).checkpoint()
+    return _fold_once(part(obs, "left_anti"), part(state, "left_anti"), **rules).unionByName(folded)
 
 
 def records(folded: DataFrame, profile_base: str) -> DataFrame:

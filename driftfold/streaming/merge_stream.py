@@ -12,6 +12,8 @@ from driftfold.session import shared_folder
 
 
 SHARDS = 64
+#: Versions of a shard that stay besides the one being written: a batch may run again, and a reader may be at the last.
+KEPT = 2
 
 
 class StateTable:
@@ -27,17 +29,30 @@ class StateTable:
     def shard_of(self, user_id: str = "user_id") -> Column:
         return F.pmod(F.xxhash64(user_id), F.lit(self.shards)).cast("int")
 
-    def versions(self, before: int | None = None) -> dict[int, int]:
-        """The newest version of each shard, older than `before` where that is given: a listing, so a restart needs nothing else."""
-        pattern = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/v=*/shard=*")
-        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-        newest: dict[int, int] = {}
-        for status in found:
+    def _files(self, path: str):
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()), target
+
+    def all_versions(self) -> dict[int, list[int]]:
+        """The versions of each shard, newest first: a listing, so a restart needs nothing else."""
+        files, pattern = self._files(f"{self.path}/v=*/shard=*")
+        found: dict[int, list[int]] = {}
+        for status in files.globStatus(pattern) or []:
             name = status.getPath()
-            shard, version = int(name.getName().partition("=")[2]), int(name.getParent().getName().partition("=")[2])
-            if before is None or version < before:
-                newest[shard] = max(version, newest.get(shard, -1))
-        return newest
+            found.setdefault(int(name.getName().partition("=")[2]), []).append(int(name.getParent().getName().partition("=")[2]))
+        return {shard: sorted(versions, reverse=True) for shard, versions in found.items()}
+
+    def versions(self, before: int | None = None) -> dict[int, int]:
+        """The newest version of each shard, older than `before` where that is given."""
+        older = {shard: [v for v in versions if before is None or v < before] for shard, versions in self.all_versions().items()}
+        return {shard: versions[0] for shard, versions in older.items() if versions}
+
+    def prune(self, version: int) -> None:
+        """Remove what no batch from `version` on can read: of each shard all but the KEPT newest older versions."""
+        for shard, versions in self.all_versions().items():
+            for old in [v for v in versions if v < version][KEPT:]:
+                files, target = self._files(f"{self.path}/v={old}/shard={shard}")
+                files.delete(target, True)
 
     def read(self, shards: set[int] | None = None, before: int | None = None) -> DataFrame | None:
         paths = [f"{self.path}/v={v}/shard={s}" for s, v in sorted(self.versions(before).items()) if shards is None or s in shards]
@@ -55,19 +70,13 @@ def fold_batch(table: StateTable, **rules):
         batch = batch.persist()
         touched = {row["shard"] for row in batch.select(table.shard_of().alias("shard")).distinct().collect()}
         if touched:
-            table.write(_fold(batch, table.read(touched, before=epoch), **rules), epoch)
+            table.write(merge.fold_over(batch, table.read(touched, before=epoch), **rules), epoch)
+            table.prune(epoch)
         batch.unpersist()
 
     return apply
 
 
-def _fold(batch: DataFrame, state: DataFrame | None, **rules) -> DataFrame:
-    if "source_fingerprint" not in batch.columns:
-        claim = merge.profile_fingerprint(F.col("profile_status"), F.col("blog_status"), F.col("blog_url"))
-        batch = batch.withColumn("source_fingerprint", F.when(F.col("check_result") == "ok", claim))
-    return merge._fold_once(batch, state, **rules)
-
-
 def replay(obs: DataFrame, batches: int = 3, watermark: str | None = None, **rules) -> DataFrame:
     """The state after obs have run through a file stream, in `batches` files in order of seq.
 
@@ -77,10 +86,11 @@ def replay(obs: DataFrame, batches: int = 3, watermark: str | None = None, **rul
     base = f"{shared_folder(spark)}/driftfold/stream-{uuid.uuid4().hex}"
     low, high = obs.agg(F.min("seq"), F.max("seq")).collect()[0]
     if low is None:
-        return _fold(obs, None, **rules)
+        return merge.fold_over(obs, None, **rules)
     step = (high - low) // batches + 1
     for n in range(batches):
         part = obs.where((F.col("seq") >= low + n * step) & (F.col("seq") < low + (n + 1) * step))
+        # One file is one batch of the stream.
         part.coalesce(1).write.mode("append").parquet(f"{base}/in")
     table = StateTable(spark, f"{base}/state")
     stream = spark.readStream.schema(obs.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")

@@ -118,6 +118,24 @@ def test_stream_equals_batch(spark):
     assert stream == {r.user_id: r.state for r in merge.fold_observations(obs).collect()}
 
 
+def test_hot_entities_go_on_from_their_states(spark):
+    rows = [observation(1 if i % 4 else 2 + i % 3, i, i, VALUES[(i * 5) % 6]) for i in range(60)]
+    first = merge.fold_over(frame(spark, rows[:20]), None, chunk=6)
+    both = {r.user_id: r.state for r in merge.fold_over(frame(spark, rows[20:]), first, chunk=6).collect()}
+    assert both == {r.user_id: r.state for r in merge.fold_observations(frame(spark, rows)).collect()}
+
+
+def test_old_versions_go(spark, tmp_path):
+    rows = [observation(1 + i % 2, i, i, VALUES[(i * 5) % 6]) for i in range(30)]
+    table = merge_stream.StateTable(spark, f"file://{tmp_path}/state", shards=1)
+    fold = merge_stream.fold_batch(table)
+    for epoch in range(5):
+        fold(frame(spark, rows[6 * epoch : 6 * epoch + 6]), epoch)
+    assert table.all_versions() == {0: [4, 3, 2]}
+    fold(frame(spark, rows[24:]), 4)
+    assert {r.user_id: r.state for r in table.read().collect()} == {r.user_id: r.state for r in merge.fold_observations(frame(spark, rows)).collect()}
+
+
 def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
     rows = [observation(1 + i % 5, i, i, VALUES[(i * 5) % 6]) for i in range(40)]
     table = merge_stream.StateTable(spark, f"file://{tmp_path}/state", shards=3)
