@@ -16,15 +16,20 @@ result; strings of special tokens in a text become those tokens, as the tokenize
 from __future__ import annotations
 
 import hashlib
+import io
 import json
 import re
 import uuid
-from collections.abc import Callable, Iterable, Iterator
+from array import array
+from bisect import bisect_left
+from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +54,7 @@ EXPECTED = {
     "post_processor": None,
     "decoder": None,
 }
-#: Words a worker remembers: without a head, and beside one, whose words are the frequent ones.
+#: Words a worker remembers: without a head, and beside one.
 MEMO, TAIL_MEMO = 400_000, 50_000
 #: Bytes of text that are encoded before their ids and pieces are passed on.
 SLICE = 1_000_000
@@ -63,29 +68,74 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in printable else chr(256 + rest.index(b)) for b in range(256)]
 
 
+def refuse_others(spec: str) -> None:
+    """An error for a tokenizer that is not of the kind EXPECTED."""
+    said = json.loads(spec)
+    if {k: said.get(k) for k in EXPECTED} != EXPECTED or said["model"]["type"] != "BPE" or said["model"].get("dropout"):
+        raise ValueError("this tokenizer splits, encodes or decodes words in another way than this operator does")
+
+
+class Head:
+    """The head of the table as bytes, sorted by the words' hashes: an object a word would take five times the memory in every worker."""
+
+    def __init__(self, packed: bytes):
+        with pa.ipc.open_stream(packed) as stream:
+            table = stream.read_all()
+        hashes = np.fromiter((hash(w) for batch in table.to_batches() for w in column(batch, "word").to_pylist()), np.int64, table.num_rows)
+        order = np.argsort(hashes)
+        self.hashes = array("q", hashes[order].tobytes())
+        (self.words, self.word_at), (self.ids, self.ids_at) = (joined(table.column(c).cast(pa.large_binary()).take(order)) for c in ("word", "ids"))
+
+    def ids_of(self, word: str) -> bytes | None:
+        """The word's ids, or None for a word that is not in the head."""
+        at, wanted = bisect_left(self.hashes, key := hash(word)), None
+        while at < len(self.hashes) and self.hashes[at] == key:
+            wanted = wanted or word.encode()
+            if self.words[self.word_at[at] : self.word_at[at + 1]] == wanted:
+                return self.ids[self.ids_at[at] : self.ids_at[at + 1]]
+            at += 1
+        return None
+
+
+def joined(values: pa.ChunkedArray) -> tuple[bytes, array]:
+    """All values as one, and where each begins, with the end."""
+    ends = np.cumsum(np.fromiter(chain.from_iterable(pc.binary_length(c).to_numpy(zero_copy_only=False) for c in values.chunks), np.int64, len(values)))
+    sink = io.BytesIO()
+    for start in range(0, len(values), 10_000):
+        sink.write(b"".join(values.slice(start, 10_000).to_pylist()))
+    return sink.getvalue(), array("q", np.concatenate([[0], ends]).astype(np.int64).tobytes())
+
+
 class WordCoder(dict):
     """Maps a word to its ids as little-endian unsigned 32-bit integers; unknown words are encoded and remembered."""
 
-    def __init__(self, spec: str, known: Iterable[tuple[str, bytes]] | None = None):
+    def __init__(self, spec: str, head: Head | None = None):
         from tokenizers import Tokenizer
 
-        super().__init__(known or ())
-        said = json.loads(spec)
-        if {k: said.get(k) for k in EXPECTED} != EXPECTED or said["model"]["type"] != "BPE" or said["model"].get("dropout"):
-            raise ValueError("this tokenizer splits, encodes or decodes words in another way than this operator does")
-        self.limit = MEMO if known is None else len(self) + TAIL_MEMO
+        super().__init__()
+        refuse_others(spec)
         self.tokenizer = Tokenizer.from_str(spec)
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.pieces = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.letters = byte_letters()
+        self.head, self.limit = head, MEMO if head is None else TAIL_MEMO
 
-    def __missing__(self, word: str) -> bytes:
+    @property
+    def pieces(self) -> list[str]:
+        return [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
+
+    def ids_of(self, word: str) -> bytes:
+        """A word's ids, neither looked up nor remembered."""
         if word in self.special:
             ids = [self.special[word]]
         else:
             ids = [t.id for t in self.tokenizer.model.tokenize("".join([self.letters[b] for b in word.encode()]))]
-        out = np.array(ids, dtype="<u4").tobytes()
+        return np.array(ids, dtype="<u4").tobytes()
+
+    def __missing__(self, word: str) -> bytes:
+        out = self.head.ids_of(word) if self.head else None
+        if out is None:
+            out = self.ids_of(word)
         if len(self) < self.limit:
             self[word] = out
         return out
@@ -117,11 +167,19 @@ def coder(spec: str) -> WordCoder:
     return once(hashlib.md5(spec.encode()).hexdigest(), lambda: WordCoder(spec))
 
 
+def packed(head: pa.Table) -> bytes:
+    """The head as a compressed Arrow stream in small batches: workers keep what was broadcast beside what they make of it."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, head.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(head, max_chunksize=10_000)
+    return sink.getvalue().to_pybytes()
+
+
 def headed_coder(key: str, spec: Broadcast, head: Broadcast) -> WordCoder:
     """One a worker process for each head, which the key names."""
 
     def make() -> WordCoder:
-        return WordCoder(spec.value, zip(*(head.value.column(c).to_pylist() for c in ("word", "ids")), strict=True))
+        return WordCoder(spec.value, Head(head.value))
 
     return once(key, make)
 
@@ -141,18 +199,18 @@ def distinct_words(docs: DataFrame, spec: Broadcast) -> DataFrame:
 
 
 def encoded_head(docs: DataFrame, spec: Broadcast) -> Broadcast:
-    """The head of the distinct-word table, each word encoded once, as an Arrow table (word, ids)."""
+    """The head of the distinct-word table, each word encoded once, as a packed table (word, ids)."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = coder(spec.value)
         for batch in batches:
-            ids = pa.array([code[w] for w in column(batch, "word").to_pylist()], pa.binary())
+            ids = pa.array([code.ids_of(w) for w in column(batch, "word").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([column(batch, "word"), ids], names=["word", "ids"])
 
     counted = materialize(distinct_words(docs, spec), "distinct")
     head = head_of(counted).select("word").mapInArrow(encode, "word string, ids binary").toArrow()
     discard(counted)
-    return docs.sparkSession.sparkContext.broadcast(head)
+    return docs.sparkSession.sparkContext.broadcast(packed(head))
 
 
 def piece_table(spark: SparkSession, spec: str) -> DataFrame:

@@ -73,13 +73,18 @@ def discard(written: DataFrame) -> None:
 
 #: Rows of text in an Arrow batch: the default, ten thousand, makes batches of long texts too large for a worker.
 BATCH_ROWS = 1_000
+#: Bytes of an Arrow batch after which no further row is put in; Spark's default is 64 MiB.
+BATCH_BYTES = 1 << 20
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """df, after lowering its session's rows an Arrow batch to BATCH_ROWS where they are more."""
+    """df, after lowering its session's rows and bytes an Arrow batch to BATCH_ROWS and BATCH_BYTES where they are more."""
     name, conf = "spark.sql.execution.arrow.maxRecordsPerBatch", df.sparkSession.conf
     if not 0 < int(conf.get(name)) <= BATCH_ROWS:
         conf.set(name, str(BATCH_ROWS))
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(conf.get(name)) <= BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
     return df
 
 
@@ -144,6 +149,7 @@ def once(key: str, make: Callable[[], T]) -> T:
         for other in [k for k in _MADE if k[:USE] != key[:USE]]:
             del _MADE[other]
         _MADE[key] = make()
+        trim()
     return _MADE[key]
 
 

@@ -2,10 +2,12 @@
 
 import hashlib
 import json
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -44,6 +46,30 @@ def test_a_small_head_changes_nothing(all_docs, monkeypatch, head):
     assert order(tuple(r) for r in bpe.bpe_digest(all_docs, PATH).collect()) == whole
 
 
+def test_a_head_takes_little_memory_and_has_every_word():
+    words = [f"w{i}" for i in range(30_000)] + ["été", "w" * 4_000]
+    plain = bpe.coder(spec := bpe.read_spec(PATH))
+    table = pa.table({"word": words, "ids": pa.array([plain.ids_of(w) for w in words], pa.binary())})
+    tracemalloc.start()
+    try:
+        head = bpe.Head(bpe.packed(table))
+        taken = tracemalloc.get_traced_memory()[0]
+    finally:
+        tracemalloc.stop()
+    # A dict of strings and bytes takes about 160 bytes a word.
+    assert taken < 60 * len(words)
+    assert [head.ids_of(w) for w in words] == table.column("ids").to_pylist()
+    assert head.ids_of("w30000") is None and bpe.Head(bpe.packed(table.slice(0, 0))).ids_of("w1") is None
+    coder = bpe.WordCoder(spec, head)
+    assert [coder[w] for w in [*words[::100], "été", "w30000"]] == [plain.ids_of(w) for w in [*words[::100], "été", "w30000"]]
+
+
+def test_batches_of_long_texts_are_small(spark):
+    docs = bpe.small_batches(spark.range(400).selectExpr("id", "repeat('word ', 4000) text").coalesce(1))
+    sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+    assert len(sizes) > 1 and max(r.n for r in sizes) < 2 << 20
+
+
 def test_encode_documents_keeps_columns(odd_docs, library):
     rows = bpe.encode_documents(odd_docs, PATH).collect()
     assert rows[0].asDict().keys() == {*odd_docs.columns, "decoded"}
